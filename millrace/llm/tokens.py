@@ -9,10 +9,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 #: Words that one generation of a cache holds; there are two generations.
 CACHE_WORDS = 200_000
 #: Id that ends each document.
@@ -90,7 +89,7 @@ class Encoder:
 
     def compute(self, words: list) -> list[bytes]:
         texts = [w.decode("utf-8") for w in words] if self.cut is word_end_pieces else words
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list) -> list[bytes]:
         """The ids of each text (None: empty), END_ID not included."""
