@@ -69,7 +69,7 @@ def _place(copy: int | Column) -> Column:
     return F.struct(finish(copy).alias("v"), F.col("rank"), copy.alias("copy"), F.col("order"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), F.col("uid"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 42, block_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 42, block_rows: int = 2_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row a document: doc_id, source, size, source_size, target, taken (and uid, a row number)."""
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: in
     return mix_rows(materialize(rows, "sizes"), weights, max_repeat, block_rows)
 
 
-def mix_rows(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_rows: int = 20_000) -> DataFrame:
+def mix_rows(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_rows: int = 2_000) -> DataFrame:
     """The mix over rows of doc_id, source, size, order and uid, which must be a stored table."""
     spark = rows.sparkSession
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents"))
