@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, simhash, token_counts, token_files
+from . import exact_dedup, mixing, packing, quality, quality_rules, simhash, token_counts, token_files
 from .common import documents
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_rows(documents(spark, sf_dir))
 
@@ -16,6 +21,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -33,7 +42,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_token_ids, op4_exact_dedup, op6_token_counts, op7_simhash, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_exact_dedup, op5_quality_classifier, op6_token_counts, op7_simhash, op8_best_fit_packing, op10_mixing)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -45,6 +54,35 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM n JOIN g ON n.norm = g.norm
 """
 
+OP1 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+g AS (SELECT uid, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+x AS (SELECT uid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM g),
+y AS (SELECT uid, i, count(*) OVER (PARTITION BY uid, s) AS n FROM x),
+z AS (SELECT uid, count(DISTINCT p)::BIGINT AS n_repeat_words FROM (SELECT uid, unnest([i, i + 1, i + 2]) AS p FROM y WHERE n > 1) GROUP BY uid),
+f AS (
+  SELECT d.uid, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN z ON d.uid = z.uid),
+r AS (
+  SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeated, 10 * n_symbols > n_words AS symbols,
+    100 * n_dup_lines > 30 * n_lines AS lines, word_chars < 2 * n_words OR word_chars > 14 * n_words AS lengths FROM f),
+u AS (SELECT source, rule, count(*) AS n, sum(hit::INT) AS k FROM (
+    SELECT source, unnest(['short', 'repeated', 'symbols', 'lines', 'lengths']) AS rule, unnest([short, repeated, symbols, lines, lengths]) AS hit FROM r) GROUP BY ALL),
+m AS (SELECT rule, sum(k)::DOUBLE / sum(n) AS mu, count(*) AS hosts, sum(n) AS total FROM u GROUP BY rule),
+v AS (SELECT m.rule, mu, greatest(sum(n * (k::DOUBLE / n - mu) ** 2) / any_value(total) - mu * (1 - mu) * any_value(hosts) / any_value(total), 0) AS between_hosts
+  FROM u JOIN m ON u.rule = m.rule GROUP BY m.rule, mu),
+s AS (SELECT rule, mu, CASE WHEN between_hosts <= 0 THEN 1000 ELSE least(1000, greatest(1, mu * (1 - mu) / between_hosts - 1)) END AS strength FROM v),
+h AS (SELECT source, max((k + mu * strength) / (n + strength)) > 0.5 AS flagged FROM u JOIN s ON u.rule = s.rule GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
+  NOT (short OR repeated) AND NOT (flagged AND (short OR repeated OR symbols OR lines OR lengths)) AS kept
+FROM r JOIN h ON r.source IS NOT DISTINCT FROM h.source
+"""
+
 OP10 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -73,4 +111,4 @@ FROM q LEFT JOIN k ON q.doc_id IS NOT DISTINCT FROM k.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4, "op10_mixing": OP10}
+    return {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op10_mixing": OP10}
