@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, quality_rules, simhash, token_counts, token_files
+from . import exact_dedup, mixing, packing, quality, quality_rules, scoring, simhash, token_counts, token_files
 from .common import documents
 
 
@@ -13,6 +13,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(documents(spark, sf_dir))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_rows(documents(spark, sf_dir))
 
@@ -42,7 +46,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_exact_dedup, op5_quality_classifier, op6_token_counts, op7_simhash, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_token_ids, op4_exact_dedup, op5_quality_classifier, op6_token_counts, op7_simhash, op8_best_fit_packing, op10_mixing)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
