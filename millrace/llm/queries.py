@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, quality_rules, scoring, simhash, token_counts, token_files
+from . import exact_dedup, mixing, packing, quality, quality_rules, scoring, simhash, substrings, token_counts, token_files
 from .common import documents
 
 
@@ -41,12 +41,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed_digest(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_token_ids, op4_exact_dedup, op5_quality_classifier, op6_token_counts, op7_simhash, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_token_ids, op4_exact_dedup, op5_quality_classifier, op6_token_counts, op7_simhash, op8_best_fit_packing, op9_suffix_array_dedup, op10_mixing)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
