@@ -15,6 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: At most this many keys count as heavy in :func:`join_classes`.
 HEAVY_KEYS = 1000
 
+#: Scratch folders of applications that have none set.
+_own: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; only where that is unset, a folder of our own (tests)."""
@@ -22,8 +25,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own.setdefault(spark.sparkContext.applicationId, "") or f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+        _own[spark.sparkContext.applicationId] = root
     return root.rstrip("/")
 
 

@@ -135,6 +135,11 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT
     taken = mix_rows(rows.drop("__mark"), weights, max_repeat).filter("taken > 0").select("uid", (F.col("taken") / F.col("size")).cast("int").alias("__times"))
     times = rows.select("uid", "doc_id", "__mark").join(taken, "uid").groupBy("doc_id", "__mark").agg(F.sum("__times").alias("__times"), F.count(F.lit(1)).alias("__same"))
     times = times.withColumnsRenamed({"doc_id": "__id2", "__mark": "__mark2"})
+    times = materialize(times, "times")
     joined = spelled.join(times, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__mark") == F.col("__mark2")), "inner")
-    per_row = F.greatest(F.lit(1), F.ceil(F.col("__times") / F.col("__same"))).cast("int")
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), per_row))).select(*[F.col(f"`{c}`") for c in columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
+    found = joined.filter("__same = 1").select("__times", row)
+    if times.filter("__same > 1").take(1):
+        equal = joined.filter("__same > 1").groupBy("__id", "__mark").agg(F.max("__times").cast("long").alias("__times"), F.min(row).alias("__row"))
+        found = found.unionByName(equal.select("__times", "__row"))
+    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select("__row.*")
