@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_classes, materialize, ship
+from .common import join_classes, materialize, parallelism, ship
 from .components import connected_components
 
 DISTANCE = 4
@@ -84,24 +84,27 @@ def unary_counts(fp: Column, fine: bool) -> Column:
     return low.bitwiseOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
 
 
+def _moved(own: Column, fine: bool):
+    """The cell one step from ``own`` at a bit, as a function of the bit; null where counts have no such step."""
+
+    def near(i: Column) -> Column:
+        moved = own.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))
+        if fine:
+            return moved
+        # in unary the first bit of a segment may change while the second is 0, the second while the first is 1
+        first = i % 2 == 0
+        other = F.call_function("shiftrightunsigned", own, F.when(first, i + 1).otherwise(i - 1)).bitwiseAND(F.lit(1))
+        return F.when(other == F.when(first, 0).otherwise(1), moved)
+
+    return near
+
+
 def cells(counts: Column, fine: bool) -> Column:
     """The grid cells within a distance of 1 of either half of an embedding, as an array of longs."""
     found = []
     for half in (0, 1):
-        part = F.shiftrightunsigned(counts, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-        own = part.bitwiseOR(F.lit(half << 32))
-
-        def near(i, own=own):
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), i)
-            moved = own.bitwiseXOR(bit)
-            if fine:
-                return moved
-            # in unary the first bit of a segment may change while the second is 0, the second while the first is 1
-            first = i % 2 == 0
-            other = F.call_function("shiftrightunsigned", own, F.when(first, i + 1).otherwise(i - 1)).bitwiseAND(F.lit(1))
-            return F.when(other == F.when(first, 0).otherwise(1), moved)
-
-        found.append(F.concat(F.array(own), F.transform(F.sequence(F.lit(0), F.lit(31)), near)))
+        own = F.shiftrightunsigned(counts, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(half << 32))
+        found.append(F.concat(F.array(own), F.transform(F.sequence(F.lit(0), F.lit(31)), _moved(own, fine))))
     return F.filter(F.concat(*found), lambda c: c.isNotNull())
 
 
@@ -109,7 +112,7 @@ def cells(counts: Column, fine: bool) -> Column:
 def links(classes: DataFrame, crowd: int = CROWD, fine: bool | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp, a stored table) that keep all links' components."""
     fine = classes.count() >= FINE_FROM if fine is None else fine
-    embedded = classes.select("fp", unary_counts(F.col("fp"), fine).alias("counts"))
+    embedded = classes.repartition(parallelism(classes.sparkSession), "fp").select("fp", unary_counts(F.col("fp"), fine).alias("counts"))
     put = embedded.select("fp", "counts", F.explode(cells(F.col("counts"), fine)).alias("cell"))
     crowded = put.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
     crowded = materialize(crowded.select("cell"), "crowded")
@@ -119,7 +122,7 @@ def links(classes: DataFrame, crowd: int = CROWD, fine: bool | None = None) -> D
     b = light.select("cell", F.col("fp").alias("b"), F.col("counts").alias("cb"))
     bound = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= DISTANCE
     exact = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
-    same = a.alias("x").join(b.alias("y"), (F.col("x.cell") == F.col("y.cell")) & (F.col("a") < F.col("b")) & bound & exact, "inner")
+    same = a.alias("x").join(b.alias("y").hint("merge"), (F.col("x.cell") == F.col("y.cell")) & (F.col("a") < F.col("b")) & bound & exact, "inner")
     edges = same.select("a", "b").distinct()
     if busy:
         members = materialize(put.join(crowded, "cell", "left_semi").select("fp").distinct(), "members")
