@@ -22,11 +22,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
-from .tokens import WordCache, in_batches, library, tokenizer_path, word_end_pieces
+from .tokens import WordCache, in_batches, library, shown_bytes, tokenizer_path, word_end_pieces
 
 #: Words of ASCII and Latin-1 letters, which normal form C leaves alone and whose lower case is one character each.
 _PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
@@ -106,10 +107,7 @@ class TokenCounter:
         self.tokenizer, self.vocab = library(path), model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.table = MergeTable(self.vocab, model["merges"])
-        # a byte-level alphabet: printable characters stand for themselves, other bytes for characters from 256 on
-        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        char_of = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        char_of = shown_bytes()
         self.byte_of = {c: b for b, c in char_of.items()}
         self.inner = np.array([self.vocab[char_of[b]] for b in range(256)], dtype=np.int64)
         self.final = np.array([self.vocab[char_of[b] + self.suffix] for b in range(256)], dtype=np.int64)
@@ -119,12 +117,11 @@ class TokenCounter:
     def pretokens(self, text: str) -> list[str]:
         return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
 
-    def compute(self, words: list[bytes]) -> list[int]:
+    def compute(self, words: list[str]) -> list[int]:
         """Counts of new words: plain ones are lower-cased and cut together, others go through the library's normaliser."""
         counts, pieces, owner, plain = [0] * len(words), [], [], []
-        for k, word in enumerate(words):
-            text = word.decode("utf-8")
-            if b"<|" not in word and _PLAIN_WORD(text):
+        for k, text in enumerate(words):
+            if "<|" not in text and _PLAIN_WORD(text):
                 plain.append(k)
                 continue
             parts = [text]
@@ -136,7 +133,7 @@ class TokenCounter:
                 pieces.append(bytes(map(self.byte_of.__getitem__, piece)))
                 owner.append(k)
         at = 0
-        for piece in _PLAIN_CUT(" ".join([words[k].decode("utf-8") for k in plain]).lower()):
+        for piece in _PLAIN_CUT(" ".join([words[k] for k in plain]).lower()):
             if piece == " ":
                 at += 1
             else:
@@ -159,9 +156,23 @@ class TokenCounter:
         return symbols, sizes
 
     def count(self, texts: list) -> list[int]:
-        cut = [word_end_pieces(t) if t else [] for t in texts]
-        get = self.cache.holding(set().union(*cut) if cut else set()).__getitem__
-        return [sum(map(get, words)) for words in cut]
+        """The number of tokens of each text (None: 0)."""
+        out, plain = np.zeros(len(texts), dtype=np.int64), []
+        for i, t in enumerate(texts):
+            if t and "<|" in t:
+                words = word_end_pieces(t)
+                out[i] = sum(map(self.cache.holding(set(words)).__getitem__, words))
+            elif t:
+                plain.append(i)
+        if plain:
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([texts[i] for i in plain], pa.large_string())))
+            coded = lists.values.dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            known = self.cache.holding(set(words))
+            each = np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words))
+            ends = np.r_[0, np.cumsum(each[coded.indices.to_numpy()])]
+            out[plain] = np.diff(ends[lists.offsets.to_numpy()])
+        return out.tolist()
 
 
 @lru_cache(maxsize=2)

@@ -12,11 +12,87 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Words that one generation of a cache holds; there are two generations.
 CACHE_WORDS = 200_000
+#: Ends of words (punctuation, mostly) that are kept for good.
+CACHE_TAILS = 20_000
 #: Id that ends each document.
 END_ID = 2
 
+#: Letters that are one pre-token by themselves, with the space before them.
+_LETTERS = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+
+
+def shown_bytes() -> dict[int, str]:
+    """The byte-level alphabet: printable characters stand for themselves, other bytes for characters from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = shown_bytes()
+
+
+class WordCache:
+    """A two-generation map from word to value; ``compute`` gets the list of words that are in neither."""
+
+    def __init__(self, compute, limit: int = CACHE_WORDS):
+        self.compute, self.limit, self.new, self.old = compute, limit, {}, {}
+
+    def holding(self, words: set) -> dict:
+        """A dict with a value for each of ``words``."""
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        absent = []
+        for w in words.difference(new):
+            value = old.get(w)
+            if value is None:
+                absent.append(w)
+            else:
+                new[w] = value
+        for i in range(0, len(absent), 16_384):
+            part = absent[i : i + 16_384]
+            new.update(zip(part, self.compute(part)))
+        return new
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@lru_cache(maxsize=4)
+def library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+#: White space where the plain cut at single spaces and newlines does not hold.
+_ODD_RUNS = ("  ", "\n\n", " \n", "\n ")
+_ODD_CHARS = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_PLAIN = re.compile(r" ?[^ \n]+|\n")
+_SAFE = re.compile(r"(?<=\S)(?= \S)")
+#: Letters, with the space before them, up to the end or to plain punctuation: both vocabularies cut there.
+_HEAD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?![^!-&(-/:-@\[-`{-~])").match
+
+
+def shown_bytes() -> dict[int, str]:
+    """The byte-level alphabet: printable characters stand for themselves, other bytes for characters from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = shown_bytes()
+
 
 class WordCache:
     """A two-generation map from word to value; ``compute`` gets the list of words that are in neither."""
@@ -36,8 +112,8 @@ class WordCache:
                 absent.append(w)
             else:
                 new[w] = value
-        for i in range(0, len(absent), 4096):
-            part = absent[i : i + 4096]
+        for i in range(0, len(absent), 16_384):
+            part = absent[i : i + 16_384]
             new.update(zip(part, self.compute(part)))
         return new
 
@@ -57,22 +133,30 @@ def library(path: str):
 
 
 #: White space where the plain cut at single spaces and newlines does not hold.
-_ODD = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
+_ODD_RUNS = ("  ", "\n\n", " \n", "\n ")
+_ODD_CHARS = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _PLAIN = re.compile(r" ?[^ \n]+|\n")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+#: Letters that plain punctuation follows: both vocabularies cut there, so the two parts can be looked up apart.
+_HEAD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[!-&(-/:-@\[-`{-~])").match
+_HEAD_BYTES = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+(?=[!-&(-/:-@\[-`{-~])").match
+
+
+def is_odd(text: str) -> bool:
+    return text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _ODD_RUNS) or any(c in text for c in _ODD_CHARS)
 
 
 def byte_level_pieces(text: str) -> list[str]:
     """Cut a text where no pre-token of a byte-level BPE (words with their leading space) can cross."""
     if not text:
         return []
-    return _SAFE.split(text) if _ODD.search(text) else _PLAIN.findall(text)
+    return _SAFE.split(text) if is_odd(text) else _PLAIN.findall(text)
 
 
-def word_end_pieces(text: str) -> list[bytes]:
+def word_end_pieces(text: str) -> list[str]:
     """Cut a text at ASCII white space, which a BPE with word ends drops. Case is folded early where that is safe."""
     data = text.encode("utf-8", "surrogatepass")
-    return (data if b"<|" in data else data.lower()).split()
+    return [w.decode("utf-8", "surrogatepass") for w in (data if b"<|" in data else data.lower()).split()]
 
 
 class Encoder:
@@ -81,22 +165,92 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = library(path)
         # word ends: white space is dropped; otherwise a word carries its leading space
-        self.cut = word_end_pieces if b"</w>" in self.encode_model() else byte_level_pieces
+        self.word_ends = bool(getattr(self.tokenizer.model, "end_of_word_suffix", None))
+        self.cut = word_end_pieces if self.word_ends else byte_level_pieces
+        self.tokenize = self.tokenizer.model.tokenize
         self.cache = WordCache(self.compute)
+        self.heads, self.old_heads, self.tails = {}, {}, {}
+        self.newline = array("I", self.tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
 
-    def encode_model(self) -> bytes:
-        return (getattr(self.tokenizer.model, "end_of_word_suffix", None) or "").encode()
+    def letters(self, part: str) -> bytes:
+        """Ids of letters, with the space before them: one pre-token, so the library's model alone is asked."""
+        shown = part.replace(" ", _SHOWN[0x20]) if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
 
-    def compute(self, words: list) -> list[bytes]:
-        texts = [w.decode("utf-8") for w in words] if self.cut is word_end_pieces else words
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def compute(self, words: list[str]) -> list[bytes]:
+        """Ids of new words by the library: letters by its model, what follows them once, anything else the whole way."""
+        if len(self.heads) > CACHE_WORDS:
+            self.old_heads, self.heads = self.heads, {}
+        out, whole, tails, heads, old = [], [], self.tails, self.heads, self.old_heads
+        for i, word in enumerate(words):
+            head = b""
+            if word[:1] == "\n" and word[1:2].strip():
+                head, word = self.newline, word[1:]
+            found = None if "<|" in word else _HEAD(word)
+            if found:
+                text = found.group()
+                word = word[len(text) :]
+                ids = heads.get(text)
+                if ids is None:
+                    ids = heads[text] = old.get(text) or self.letters(text.lower() if self.word_ends else text)
+                head += ids
+            if not word:
+                out.append(head)
+            elif found and word in tails:
+                out.append(head + tails[word])
+            else:
+                out.append(head)
+                whole.append((i, word, bool(found)))
+        for (i, word, is_tail), e in zip(whole, self.tokenizer.encode_batch_fast([w for _, w, _ in whole], add_special_tokens=False)):
+            data = array("I", e.ids).tobytes()
+            out[i] += data
+            if is_tail and len(tails) < CACHE_TAILS:
+                tails[word] = data
+        return out
+
+    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of texts whose words Arrow can cut."""
+        if self.word_ends:
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        else:
+            # a newline starts a piece and a first one stands before every text, so all other pieces follow a space
+            lists = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        coded = lists.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        keys = words if self.word_ends else [w if w[:1] == "\n" else " " + w for w in words]
+        known = self.cache.holding(set(keys))
+        datas = [known[k] for k in keys]
+        size = np.fromiter(map(len, datas), dtype=np.int64, count=len(datas)) // 4
+        flat = np.frombuffer(b"".join(datas), dtype="<u4")
+        start, at = np.cumsum(size) - size, coded.indices.to_numpy()
+        many = size[at]
+        ends = np.r_[0, np.cumsum(many)]
+        ids = flat[np.repeat(start[at] - ends[:-1], many) + np.arange(ends[-1])]
+        counts = np.diff(ends[lists.offsets.to_numpy()])
+        if not self.word_ends:
+            first = np.cumsum(counts) - counts
+            ids, counts = np.delete(ids, first), counts - 1
+        return ids, counts
 
     def encode(self, texts: list) -> list[bytes]:
         """The ids of each text (None: empty), END_ID not included."""
-        cut = [self.cut(t) if t else [] for t in texts]
-        known = self.cache.holding(set().union(*cut) if cut else set())
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        out, plain = [b""] * len(texts), []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if "<|" in t or not self.word_ends and is_odd(t):
+                pieces = self.cut(t)
+                known = self.cache.holding(set(pieces))
+                out[i] = b"".join(map(known.__getitem__, pieces))
+            else:
+                plain.append(i)
+        if plain:
+            ids, counts = self.plain([texts[i] for i in plain])
+            data, end = ids.tobytes(), 0
+            for i, n in zip(plain, (4 * counts).tolist()):
+                out[i] = data[end : end + n]
+                end += n
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -104,7 +258,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def in_batches(texts: list, chars: int = 2_000_000):
+def in_batches(texts: list, chars: int = 4_000_000):
     """Slices of a list of texts, each of about ``chars`` characters or one text."""
     at = 0
     while at < len(texts):
