@@ -80,20 +80,19 @@ def transitions(sizes: np.ndarray, stream: np.ndarray, hashes: np.ndarray) -> tu
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted unsigned longs as 6-byte steps where they fit, else 8-byte ones."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    if len(steps) > 1 and int(steps[1:].max()) < 1 << 48:
-        return b"6" + keys[:1].tobytes() + steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-    return b"8" + keys.astype("<u8").tobytes()
+    """Sorted unsigned longs: the first one, then steps in as many bytes as the widest one needs."""
+    steps = np.diff(keys)
+    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    if data[:1] == b"8":
-        return np.frombuffer(data, "<u8", -1, 1)
-    body = np.frombuffer(data, np.uint8, -1, 9).reshape(-1, 6)
+    if len(data) == 1:
+        return np.zeros(0, dtype=np.uint64)
+    body = np.frombuffer(data, np.uint8, -1, 9).reshape(-1, data[0])
     steps = np.zeros((len(body) + 1, 8), dtype=np.uint8)
-    steps[1:, :6] = body
     steps[0] = np.frombuffer(data, np.uint8, 8, 1)
+    steps[1:, : data[0]] = body
     return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
 
 

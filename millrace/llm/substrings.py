@@ -8,7 +8,7 @@ How it works
        leftmost of equals, stands for it: equal strings are stood for at the same offset, and one q-gram in about 31
        is enough to find all of them.
     2. A bucket with one suffix in the whole corpus needs no refining. In the others, suffixes that are stood for by one
-       q-gram form a segment; equal segments (by a 128-bit digest) are one class, of which the earliest stays.
+       q-gram form a segment; equal segments (by a 96-bit digest) are one class, of which the earliest stays.
     3. Where a bucket holds several classes, the suffixes of the classes' earliest segments are refined by
        bucket-pointer refinement: buckets of GRAM bytes are sorted on the bucket identifiers of later offsets
        (GRAM, then SPAN - GRAM bytes on), first to 2 * GRAM and, reusing that, to SPAN bytes.
@@ -40,12 +40,14 @@ from .scoring import owner_of, pack_counts, pack_keys, unpack_counts, unpack_key
 from .tokens import in_batches
 
 SPAN, GRAM = 100, 40
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 #: Longer texts are cut into parts that overlap by SPAN - 1 bytes.
 PART_BYTES = 1 << 24
 #: Places in a run of parts fit in so many low bits of a q-gram's rank.
 PLACE_BITS = 26
 OWNER_KEYS = 1_000_000
+#: To tell lone q-grams from others their top 44 bits do: a chance meeting only makes a candidate.
+GRAM_SHIFT = np.uint64(20)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -175,7 +177,7 @@ def refine(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _mixed(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 128-bit digest of the SPAN bytes at each place, from the hashes of the three q-grams that cover them."""
+    """A digest of the SPAN bytes at each place, from the hashes of the three q-grams that cover them."""
     out = []
     for a, b, c in ((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5)):
         h = hashes[places] * np.uint64(a) ^ (hashes[places + GRAM] * np.uint64(b) + (hashes[places + SPAN - GRAM] * np.uint64(c) >> np.uint64(7)))
@@ -196,11 +198,27 @@ def _batch(rows: dict, kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
 
 
-def _by_owner(chunk: int, owners: int, keys: np.ndarray, rest) -> pa.RecordBatch | None:
+def _pack_places(lo: np.ndarray, doc: np.ndarray) -> bytes:
+    """What goes with keys: the documents once, then of each key its document's number and the rest of its digest."""
+    docs, number = np.unique(doc, return_inverse=True)
+    head = zlib.compress(np.diff(docs, prepend=0).tobytes(), 1)
+    kind = "<u2" if len(docs) <= 1 << 16 else "<u4"
+    return b"".join([len(head).to_bytes(4, "little"), len(docs).to_bytes(4, "little"), head, number.astype(kind).tobytes(), lo.astype("<u4").tobytes()])
+
+
+def _unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    head, docs = (int.from_bytes(data[i : i + 4], "little") for i in (0, 4))
+    ids = np.cumsum(np.frombuffer(zlib.decompress(data[8 : 8 + head]), np.int64))
+    width = 2 if docs <= 1 << 16 else 4
+    n = (len(data) - 8 - head) // (width + 4)
+    return np.frombuffer(data, "<u4", n, 8 + head + width * n), ids[np.frombuffer(data, f"<u{width}", n, 8 + head)]
+
+
+def _by_owner(chunk: int, owners: int, keys: np.ndarray, rest, shift: np.uint64 = np.uint64(0)) -> pa.RecordBatch | None:
     """Rows (owner, chunk, keys, rest) of sorted keys; ``rest(a, b)`` are the bytes that go with keys a to b."""
     edges = np.searchsorted(owner_of(keys, owners), np.arange(owners + 1))
     some = np.flatnonzero(np.diff(edges)).tolist()
-    rows = {"owner": some, "chunk": [chunk] * len(some), "keys": [pack_keys(keys[edges[o] : edges[o + 1]]) for o in some], "rest": [rest(edges[o], edges[o + 1]) for o in some]}
+    rows = {"owner": some, "chunk": [chunk] * len(some), "keys": [pack_keys(keys[edges[o] : edges[o + 1]] >> shift) for o in some], "rest": [rest(edges[o], edges[o + 1]) for o in some]}
     return _batch(rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()]) if some else None
 
 
@@ -243,11 +261,11 @@ def comes_first(asked: DataFrame) -> DataFrame:
     def find(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
         keys = [unpack_keys(r["keys"]) for r in rows]
-        rest = [np.frombuffer(r["rest"], np.int64).reshape(3, -1) for r in rows]
-        lo, doc, place = (np.concatenate([x[i] for x in rest]) for i in range(3))
+        rest = [_unpack_places(r["rest"]) for r in rows]
+        lo, doc = (np.concatenate([x[i] for x in rest]) for i in range(2))
         number = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
         hi = np.concatenate(keys)
-        order = np.lexsort((place, number, doc, lo, hi))
+        order = np.lexsort((number, doc, lo, hi))  # a chunk sends its earliest place only, and no document is in two chunks
         first = np.r_[True, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]
         flags = np.zeros(len(hi), dtype=bool)
         flags[order[first]] = True
@@ -298,8 +316,8 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, part in in_batches(texts, chunk_chars):
                 datas = [(t or "").encode("utf-8", "surrogatepass") for t in part]
-                grams, counts = np.unique(Segments(parts_of(datas)[0]).gram, return_counts=True)
-                rows = {"chunk": [chunk], "doc_ids": [ids[at : at + len(part)]], "sizes": [[len(d) for d in datas]], "text": [zlib.compress(b"".join(datas), 1)], "grams": [pack_keys(grams)], "counts": [pack_counts(counts)], "n": [len(grams)]}
+                grams, counts = np.unique(Segments(parts_of(datas)[0]).gram >> GRAM_SHIFT << GRAM_SHIFT, return_counts=True)
+                rows = {"chunk": [chunk], "doc_ids": [ids[at : at + len(part)]], "sizes": [[len(d) for d in datas]], "text": [zlib.compress(b"".join(datas), 1)], "grams": [pack_keys(grams >> GRAM_SHIFT)], "counts": [pack_counts(counts)], "n": [len(grams)]}
                 yield _batch(rows, [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()])
                 chunk += 1
 
@@ -317,8 +335,8 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
     # 1. which q-gram buckets hold more than one suffix
     def ask_grams(batches):
         for row in _rows(batches):
-            keys, counts = unpack_keys(row["grams"]), unpack_counts(row["counts"])
-            if len(counts) and (out := _by_owner(row["chunk"], owners, keys, lambda a, b: pack_counts(counts[a:b]))):
+            keys, counts = unpack_keys(row["grams"]) << GRAM_SHIFT, unpack_counts(row["counts"])
+            if len(counts) and (out := _by_owner(row["chunk"], owners, keys, lambda a, b: pack_counts(counts[a:b]), GRAM_SHIFT)):  # noqa: B023
                 yield out
 
     several = materialize(more_than_one(chunks.select("chunk", "grams", "counts").mapInArrow(ask_grams, ASKED)), "several")
@@ -329,8 +347,9 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
 
         for row in _rows(batches):
             _, owner, _, segments = opened(row)
-            keys, bits = np.unique(segments.gram), _bits_of(row["got"])
-            keep = np.flatnonzero(bits[np.searchsorted(keys, segments.gram)]) if len(keys) else np.zeros(0, dtype=np.int64)
+            short = segments.gram >> GRAM_SHIFT
+            keys, bits = np.unique(short), _bits_of(row["got"])
+            keep = np.flatnonzero(bits[np.searchsorted(keys, short)]) if len(keys) else np.zeros(0, dtype=np.int64)
             first, many = segments.first[keep], segments.many[keep]
             view = memoryview(segments.data)
             digests = np.frombuffer(b"".join([xxh3_128_digest(view[a : a + n + SPAN - 1]) for a, n in zip(first.tolist(), many.tolist())]), dtype=np.uint64).reshape(-1, 2)
@@ -344,6 +363,7 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
 
     def columns(row):
         gram, hi, lo, doc, first, many = np.frombuffer(zlib.decompress(row["table"]), np.int64).reshape(6, -1)
+        lo = lo & 0xFFFFFFFF  # digests of 96 bits
         return gram.view(np.uint64), hi.view(np.uint64), lo, doc, first, many
 
     def ask_segments(batches):
@@ -351,7 +371,7 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             _, hi, lo, doc, first, _ = columns(row)
             order, leads = earliest(hi, lo, doc, first)
             own = order[leads]
-            rest = lambda a, b: np.concatenate([lo[own[a:b]], doc[own[a:b]], first[own[a:b]]]).tobytes()  # noqa: B023, E731
+            rest = lambda a, b: _pack_places(lo[own[a:b]], doc[own[a:b]])  # noqa: B023, E731
             if len(own) and (out := _by_owner(row["chunk"], owners, hi[own], rest)):
                 yield out
 
@@ -383,7 +403,6 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             spans = [np.stack([first[~lead], first[~lead] + many[~lead]])]
             keys, bits = np.unique(gram[lead]), _bits_of(row["mix"])
             again = np.flatnonzero(lead)[bits[np.searchsorted(keys, gram[lead])]] if len(keys) else np.zeros(0, dtype=np.int64)
-            pending = np.zeros((4, 0), dtype=np.int64)
             if len(again):
                 hashes = opened(row)[3].hashes
                 n = many[again]
@@ -395,28 +414,32 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
                 lost, own = places[order[~leads]], order[leads]
                 spans.append(np.stack([lost, lost + 1]))
                 hi, lo = _mixed(hashes, places[own])
+                lo = lo & np.uint64(0xFFFFFFFF)
                 by = np.lexsort((lo, hi))
-                pending = np.stack([hi[by].view(np.int64), lo[by].view(np.int64), docs_of[own][by], places[own][by]])
-            rows = {"chunk": [row["chunk"]], "spans": [zlib.compress(np.concatenate(spans, axis=1).astype(np.int64).tobytes(), 1)], "pending": [zlib.compress(pending.tobytes(), 1)]}
-            yield _batch(rows, [pa.int64(), pa.binary(), pa.binary()])
+                hi, lo, doc_of, place = hi[by], lo[by], docs_of[own][by], places[own][by]
+            else:
+                hi, lo, doc_of, place = (np.zeros(0, dtype=t) for t in (np.uint64, np.uint64, np.int64, np.int64))
+            rows = {"chunk": [row["chunk"]], "spans": [zlib.compress(np.concatenate(spans, axis=1).astype(np.int64).tobytes(), 1)], "keys": [pack_keys(hi)], "rest": [_pack_places(lo, doc_of)], "place": [place.astype("<u4" if not len(place) or int(place.max()) < 1 << 32 else "<u8").tobytes()]}
+            yield _batch(rows, [pa.int64(), *[pa.binary()] * 4])
 
     known = led.join(_gathered(mixed, "mix").hint("shuffle_hash"), "chunk", "left").join(chunks.select("chunk", "doc_ids", "sizes", "text"), "chunk")
-    refined = _write_bucketed(known.mapInArrow(suffixes, "chunk long, spans binary, pending binary"), "suffixes", buckets)
+    refined = _write_bucketed(known.mapInArrow(suffixes, "chunk long, spans binary, keys binary, rest binary, place binary"), "suffixes", buckets)
 
     def ask_suffixes(batches):
         for row in _rows(batches):
-            hi, lo, doc, place = np.frombuffer(zlib.decompress(row["pending"]), np.int64).reshape(4, -1)
-            if len(hi) and (out := _by_owner(row["chunk"], owners, hi.view(np.uint64), lambda a, b: np.concatenate([lo[a:b], doc[a:b], place[a:b]]).tobytes())):  # noqa: B023
+            hi, (lo, doc) = unpack_keys(row["keys"]), _unpack_places(row["rest"])
+            if len(hi) and (out := _by_owner(row["chunk"], owners, hi, lambda a, b: _pack_places(lo[a:b], doc[a:b]))):  # noqa: B023
                 yield out
 
-    winners = materialize(comes_first(refined.select("chunk", "pending").mapInArrow(ask_suffixes, ASKED)), "winners")
+    winners = materialize(comes_first(refined.select("chunk", "keys", "rest").mapInArrow(ask_suffixes, ASKED)), "winners")
 
     # 5. mark and cut
     def finish(batches):
         for row in _rows(batches):
             texts, owner, start, segments = opened(row)
             spans = np.frombuffer(zlib.decompress(row["spans"]), np.int64).reshape(2, -1)
-            place = np.frombuffer(zlib.decompress(row["pending"]), np.int64).reshape(4, -1)[3]
+            n_keys = len(unpack_keys(row["keys"]))
+            place = np.frombuffer(row["place"], f"<u{len(row['place']) // n_keys if n_keys else 4}").astype(np.int64)
             lost = place[~_bits_of(row["won"])] if len(place) else place
             begins, ends = np.r_[spans[0], lost], np.r_[spans[1], lost + 1] + SPAN - 1
             part = np.searchsorted(segments.part_start, begins, side="right") - 1
@@ -445,5 +468,5 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             yield _batch(out, kinds)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else "doc_id long, n_bytes long, spans array<array<long>>, kept binary"
-    marked = chunks.select("chunk", "doc_ids", "sizes", "text").join(refined, "chunk").join(_gathered(winners, "won").hint("shuffle_hash"), "chunk", "left")
+    marked = chunks.select("chunk", "doc_ids", "sizes", "text").join(refined.drop("rest"), "chunk").join(_gathered(winners, "won").hint("shuffle_hash"), "chunk", "left")
     return marked.mapInArrow(finish, schema)
