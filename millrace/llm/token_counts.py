@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
-from .tokens import WordCache, in_batches, library, shown_bytes, tokenizer_path, word_end_pieces
+from .tokens import WordCache, fold_early, in_batches, library, shown_bytes, tokenizer_path, word_end_pieces
 
 #: Words of ASCII and Latin-1 letters, which normal form C leaves alone and whose lower case is one character each.
 _PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
@@ -165,9 +165,9 @@ class TokenCounter:
             elif t:
                 plain.append(i)
         if plain:
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([texts[i] for i in plain], pa.large_string())))
+            lists = pc.ascii_split_whitespace(pa.array([texts[i] for i in plain], pa.large_string()))
             coded = lists.values.dictionary_encode()
-            words = coded.dictionary.to_pylist()
+            words = list(map(fold_early, coded.dictionary.to_pylist()))
             known = self.cache.holding(set(words))
             each = np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words))
             ends = np.r_[0, np.cumsum(each[coded.indices.to_numpy()])]

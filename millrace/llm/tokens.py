@@ -139,6 +139,8 @@ _PLAIN = re.compile(r" ?[^ \n]+|\n")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 #: Letters that plain punctuation follows: both vocabularies cut there, so the two parts can be looked up apart.
 _HEAD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[!-&(-/:-@\[-`{-~])").match
+#: Words without combining marks and other characters that may compose with the one before them.
+_NO_MARKS = re.compile("[\0-\u02ff]+").fullmatch
 _HEAD_BYTES = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+(?=[!-&(-/:-@\[-`{-~])").match
 
 
@@ -153,10 +155,18 @@ def byte_level_pieces(text: str) -> list[str]:
     return _SAFE.split(text) if is_odd(text) else _PLAIN.findall(text)
 
 
+def fold_early(word: str) -> str:
+    """``word`` with A-Z in lower case where no mark may follow them (marks start at U+0300): the library composes before
+    it folds, and some letters compose with a mark in lower case only. Other words are left as they are."""
+    if word.isascii():
+        return word.lower()
+    return word.encode().lower().decode() if _NO_MARKS(word) else word
+
+
 def word_end_pieces(text: str) -> list[str]:
     """Cut a text at ASCII white space, which a BPE with word ends drops. Case is folded early where that is safe."""
-    data = text.encode("utf-8", "surrogatepass")
-    return [w.decode("utf-8", "surrogatepass") for w in (data if b"<|" in data else data.lower()).split()]
+    words = [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
+    return words if "<|" in text else list(map(fold_early, words))
 
 
 class Encoder:
@@ -211,13 +221,13 @@ class Encoder:
     def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each) of texts whose words Arrow can cut."""
         if self.word_ends:
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+            lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         else:
             # a newline starts a piece and a first one stands before every text, so all other pieces follow a space
             lists = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
         coded = lists.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        keys = words if self.word_ends else [w if w[:1] == "\n" else " " + w for w in words]
+        keys = list(map(fold_early, words)) if self.word_ends else [w if w[:1] == "\n" else " " + w for w in words]
         known = self.cache.holding(set(keys))
         datas = [known[k] for k in keys]
         size = np.fromiter(map(len, datas), dtype=np.int64, count=len(datas)) // 4

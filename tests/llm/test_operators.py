@@ -155,6 +155,14 @@ def test_cached_ids_are_the_library_s(name):
         assert token_counts.counter(path).count(texts) == [len(w) // 4 for w in want]
 
 
+def test_letters_that_compose_in_lower_case_only():
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = [f"An {a}{b} {c}{m}{d} End" for c, m in zip("JHTWY", "\u030c\u0331\u0308\u030a\u030a") for a, b, d in [("Word", "s", "a"), ("\xc9t", "\xc9", "Ab"), ("x", "y", "\u0327\u030c")]] + ["T\u0327\u0308 \u1e6a\u0308 <|J\u030c"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library(path).encode_batch(texts, add_special_tokens=False)]
+    assert encoder(path).encode(texts) == want
+    assert token_counts.counter(path).count(texts) == [len(w) // 4 for w in want]
+
+
 def test_merges_that_rank_before_their_parts():
     """Where a merge makes a symbol that an earlier merge uses, occurrences go one by one, as in the reference order."""
     vocab = {s: i for i, s in enumerate(["a", "b", "c", "bc", "abc", "abcabc", "ab"])}
