@@ -64,16 +64,18 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(_WEIGHT[2 * counts > len(hashes)].sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and, where it is given, the long ``mark`` of each row."""
     ship(docs.sparkSession)
+    marks = [] if mark is None else [mark.alias("mark")]
 
     def run(batches):
         for batch in batches:
             found = np.array([fingerprint(shingle_hashes(t)) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64()), *batch.columns[2:]], names=["doc_id", "fp", "mark"][: batch.num_columns])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *marks)
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", mark long" * len(marks))
 
 
 def unary_counts(fp: Column, fine: bool) -> Column:
@@ -133,27 +135,40 @@ def links(classes: DataFrame, crowd: int = CROWD, fine: bool | None = None) -> D
     return edges
 
 
-def near_duplicates(docs: DataFrame, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every document."""
-    rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
+def labelled_rows(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``rows`` (a stored table with doc_id and fp) with label, unlike for each component, and its component_id."""
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
     labels = connected_components(links(classes, crowd))
     labelled = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     labelled = materialize(labelled, "labelled")
     groups = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
     named = join_classes(labelled, groups, ["label"], "members", labelled.count())
-    named = materialize(named.select("fp", "n", "component_id"), "named")
-    found = join_classes(rows, named, ["fp"], "n", rows.count())
+    named = materialize(named.select("fp", "n", "label", "component_id"), "named")
+    return join_classes(rows, named, ["fp"], "n", rows.count())
+
+
+def near_duplicates(docs: DataFrame, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    found = labelled_rows(materialize(fingerprints(docs, id_col, text_col), "fingerprints"), crowd)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of least doc_id of each component, all columns kept.
+    """``docs`` with one row of each component, all columns kept: the one of least doc_id.
 
-    Rows without an id stay only where their whole component has none; of rows that share the least id, all stay.
+    A row without an id stays only where its whole component has none. Of rows that share the least id the one of least
+    fingerprint stays, then the one whose whole row hashes lowest; of rows that are equal throughout, one.
     """
-    columns = docs.columns
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    kept = materialize(kept, "kept")
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    mark = F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    found = labelled_rows(materialize(fingerprints(docs, id_col, text_col, mark), "fingerprints"))
+    alike = found.groupBy("label", "doc_id", "fp", "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = alike.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "mark", "n")).alias("first"))
+    kept = materialize(first.select(F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__kept_mark"), F.col("first.n").alias("__n")), "kept")
+    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": mark})
+    once = marked.join(kept, F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__kept_mark")), "inner")
+    single = once.filter("__n = 1").select(*columns)
+    if not kept.filter("__n > 1").take(1):
+        return single
+    again = once.filter("__n > 1").groupBy("__id", "__mark").agg(F.first(F.struct(*columns)).alias("__row"))
+    return single.unionByName(again.select("__row.*"))

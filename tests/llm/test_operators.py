@@ -252,6 +252,19 @@ def test_near_duplicates_against_all_pairs(docs, crowd):
     assert sorted(repr(tuple(r)) for r in simhash.near_duplicates(docs, crowd=crowd).collect()) == want
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Null and repeated ids: one row a component, whatever the ids of other components are."""
+    draw = random.Random(8)
+    text = [" ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(6)]
+    rows = [(None, text[0], "a"), (None, text[0], "b"), (None, text[0], "b"), (None, text[1], None), (3, text[1], "a"), (5, text[1], "a"), (7, text[2], "a"), (7, text[2], "b"), (7, text[3], "a"), (6, text[3], "a"), (9, text[4], "a"), (9, text[4], "a"), (6, text[5], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = simhash.one_of_each_group(docs)
+    kept = {r.text: tuple(r) for r in got.collect()}
+    assert got.columns == docs.columns and got.count() == len(kept) == 6 and set(kept.values()) <= set(rows)
+    assert [kept[t][0] for t in text] == [None, 3, 7, 6, 9, 6]
+    assert {tuple(r) for r in simhash.one_of_each_group(docs.repartition(2)).collect()} == set(kept.values())
+
+
 @pytest.mark.parametrize("crowd", [10**6, 2])
 def test_links_keep_components_of_planted_clusters(spark, tmp_path, crowd):
     draw = random.Random(4)
