@@ -34,8 +34,6 @@ from .components import connected_components
 DISTANCE = 4
 WIDTH = 4
 SEED = 42
-#: From so many distinct fingerprints on, segments of one bit are used instead of two: fewer chance meetings in a cell.
-FINE_FROM = 1 << 24
 #: A cell with more members is linked through points instead of pairs.
 CROWD = 2_000
 _LOW_BITS = 0x5555555555555555
@@ -111,9 +109,11 @@ def cells(counts: Column, fine: bool) -> Column:
 
 
 
-def links(classes: DataFrame, crowd: int = CROWD, fine: bool | None = None) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp, a stored table) that keep all links' components."""
-    fine = classes.count() >= FINE_FROM if fine is None else fine
+def links(classes: DataFrame, crowd: int = CROWD, fine: bool = False) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (column fp, a stored table) that keep all links' components.
+
+    Segments are two bits wide whatever the number of fingerprints; ``fine`` takes one-bit segments, with equal links.
+    """
     embedded = classes.repartition(parallelism(classes.sparkSession), "fp").select("fp", unary_counts(F.col("fp"), fine).alias("counts"))
     put = embedded.select("fp", "counts", F.explode(cells(F.col("counts"), fine)).alias("cell"))
     crowded = put.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)

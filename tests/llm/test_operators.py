@@ -298,6 +298,15 @@ def test_links_keep_components_of_planted_clusters(spark, tmp_path, crowd):
                 assert x not in labels
 
 
+def test_segments_are_two_bits_wide_at_any_size(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(3,), (5,), (1 << 40,)], "fp long").write.parquet(f"{tmp_path}/fp")
+    monkeypatch.setattr(simhash, "FINE_FROM", 2, raising=False)
+    widths, counts = [], simhash.unary_counts
+    monkeypatch.setattr(simhash, "unary_counts", lambda fp, fine: widths.append(fine) or counts(fp, fine))
+    assert sorted(map(tuple, simhash.links(spark.read.parquet(f"{tmp_path}/fp")).collect())) == [(3, 5), (3, 1 << 40), (5, 1 << 40)]
+    assert widths == [False]
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
     for local in (10**6, 150, 0):
