@@ -2,7 +2,7 @@
 
 How it works
     A text's bytes are cut into chunks of ``CHUNK`` bytes that overlap by half and cover the whole document. Learned
-    filters run over every chunk: each of the ``WIDTH`` byte positions under a filter adds the learned weight of the byte
+    filters run over every position of every chunk: each of the ``WIDTH`` byte positions under a filter adds the learned weight of the byte
     class it sees, and the result is rectified. Filters are max-pooled within the chunk, a learned layer turns the pooled
     values into the chunk's score, and the chunks' scores are averaged and squashed into one probability.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-CHUNK, STRIDE, WIDTH, STEP = 256, 128, 6, 3
+CHUNK, STRIDE, WIDTH = 256, 128, 6
 FILTERS, SAMPLE_ROWS, SAMPLE_CHUNKS, EPOCHS, RATE = 24, 3_000, 12, 12, 0.01
 #: Documents with more bytes are not learned from (they are scored like all others).
 SAMPLE_BYTES = 200_000
@@ -63,10 +63,10 @@ class Network:
 
     def filtered(self, rows: np.ndarray) -> np.ndarray:
         """Filter values at every position of every chunk: (chunks, positions, FILTERS)."""
-        at = np.arange(0, CHUNK - WIDTH + 1, STEP)
-        value = self.table[0][rows[:, at]]
+        positions = CHUNK - WIDTH + 1
+        value = self.table[0][rows[:, :positions]]
         for k in range(1, WIDTH):
-            value += self.table[k][rows[:, at + k]]
+            value += self.table[k][rows[:, k : k + positions]]
         return value
 
     def pooled(self, rows: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def fit(texts: list, labels: list[int], epochs: int = EPOCHS, rate: float = RATE
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     # balanced while learning, moved back to the observed share of label 1 in the end
     state = {k: [np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))] for k in ("table", "bias", "out", "base")}
-    step, at = 0, np.arange(0, CHUNK - WIDTH + 1, STEP)
+    step = 0
     for epoch in range(epochs):
         order = draw.permutation(len(cut))
         pace = rate * (1 - epoch / epochs)
@@ -121,9 +121,8 @@ def fit(texts: list, labels: list[int], epochs: int = EPOCHS, rate: float = RATE
             back = each[:, None] * net.out * (best > 0)
             gradient["bias"] = back.sum(axis=0)
             grown = np.zeros_like(net.table)
-            places = at[top]
             for k in range(WIDTH):
-                seen = np.take_along_axis(rows, places + k, axis=1)
+                seen = np.take_along_axis(rows, top + k, axis=1)
                 np.add.at(grown[k], (seen, np.arange(FILTERS)[None, :]), back)
             gradient["table"] = grown + 1e-5 * net.table
             step += 1

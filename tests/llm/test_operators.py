@@ -406,6 +406,17 @@ def test_chunks_cover_whole_texts():
         assert seen.sum() == n and seen[:n].all()
 
 
+def test_filters_see_every_position():
+    net = quality.Network.start()
+    net.table[:] = -1
+    for k, c in enumerate(b"qualit"):
+        net.table[k, c] = 1
+    net.out[:] = 1
+    ends = quality.CHUNK - quality.WIDTH
+    found = [float(net.chunk_scores(quality.chunks("x" * i + "qualit" + "x" * (ends - i)))[0]) for i in range(ends + 1)]
+    assert found == [6.0 * quality.FILTERS] * (ends + 1)
+
+
 def test_mix_meets_targets_in_many_blocks(spark, docs):
     rows = docs.select("doc_id", "text", "source").collect()
     got = mixing.mix(docs, block_rows=5).collect()
