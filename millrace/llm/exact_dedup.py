@@ -9,7 +9,7 @@ How it works
        split, doubling the directory when the bucket's local depth has reached the global one. The directory has at
        most ``2 ** MAX_DEPTH`` entries and is computed from as many counts.
     4. The index is written by owner tasks, each with a contiguous range of keys and so of buckets, to shared files.
-    5. Every row looks its class up in the index; classes over a thousandth of the rows are broadcast (there are at
+    5. Every row is joined to its class in the index by key and SHA-256, not through the directory; classes over a thousandth of the rows are broadcast (there are at
        most a thousand), all others meet in a shuffle join.
 
 Defined results
@@ -62,7 +62,7 @@ def _cell(key: Column, depth: int) -> Column:
 
 
 class DedupIndex:
-    """The written index: ``classes`` (bucket, key, chain, text_sha256, n_bytes, keep_id, group_size) and its directory."""
+    """The written index: ``classes`` (bucket, key, text_sha256, n_bytes, keep_id, group_size) and its directory."""
 
     def __init__(self, classes: DataFrame, directory: list[int], buckets: list, path: str, total: int):
         self.classes, self.directory, self.buckets, self.path, self.total = classes, directory, buckets, path, total
