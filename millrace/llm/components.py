@@ -1,15 +1,11 @@
-"""Connected components of an edge table, as stored tables: no edge and no component reaches the driver."""
+"""Connected components of an edge table, as stored tables: no edge and no component reaches the driver or one task."""
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_classes, materialize, ship
-
-#: So many edges (8 MB) or fewer are finished by one task; more take further rounds, with the same result.
-LOCAL_EDGES = 500_000
+from .common import discard, join_classes, materialize
 
 
 def _least(edges: DataFrame, total: int) -> DataFrame:
@@ -18,31 +14,12 @@ def _least(edges: DataFrame, total: int) -> DataFrame:
     return join_classes(edges, least, ["u"], "n", total)
 
 
-def _finish(batches):
-    """(node, label) of a bounded number of edges by union-find with the least node as root."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        top = x
-        while (up := root.setdefault(top, top)) != top:
-            top = up
-        while root[x] != top:
-            root[x], x = top, root[x]
-        return top
-
-    for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            a, b = find(a), find(b)
-            root[max(a, b)] = min(a, b)
-    nodes = list(root)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["node", "label"])
-
-
-def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b: any order, repeats and loops allowed).
 
-    The label is the component's least node. While there are more edges than one task should hold, alternates large-star and small-star steps, which take a number of rounds
-    logarithmic in the longest path; every round is written to the shared scratch folder, so lineage never grows.
+    The label is the component's least node. Large-star and small-star steps alternate, in a number of rounds
+    logarithmic in the longest path; every round is written to the shared scratch folder, so lineage never grows, and
+    takes the place of the one before.
     """
     ab = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = materialize(ab, "edges"), None
@@ -50,9 +27,6 @@ def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> Da
         total, check = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
         if not total or (total, check) == before:
             break
-        if total <= local_edges:
-            ship(edges.sparkSession)
-            return edges.select("u", "v").coalesce(1).mapInArrow(_finish, "node long, label long")
         before = (total, check)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both, 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -60,6 +34,8 @@ def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> Da
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         near = _least(down, total)
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-        edges = materialize(small.filter("u <> v").distinct(), "small")
+        small = materialize(small.filter("u <> v").distinct(), "small")
+        discard(edges, large)
+        edges = small
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)

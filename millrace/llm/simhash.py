@@ -6,11 +6,13 @@ How it works
     3. A fingerprint is embedded as the bit counts of its segments. The Manhattan distance of two embeddings never
        exceeds the Hamming distance of the fingerprints. Counts are kept in unary, so that distance is a popcount too.
     4. Grid range-join: within a distance of 4, one half of the segments differs by 2 at most, so two such halves have
-       a grid cell within distance 1 of both. Each class is put in the cells around each of its halves; classes that
-       meet in a cell are compared by the lower bound first and then exactly, inside the join.
-    5. A crowded cell is not compared pair by pair: its members go to all points within 2 bits of them. Two
-       fingerprints within 4 bits always share such a point and two that share one are within 4 bits, so linking every
-       member to its point's least member keeps all components, with rows in proportion to the members.
+       a grid cell within distance 1 of both. Each class is put in the cells around each of its halves. A cell's members
+       meet in one task, sorted, and are compared by the lower bound first and then exactly, in whole arrays; a cell
+       leaves a spanning forest of its links, one row a member at most, never its pairs.
+    5. Cells with over ``CROWD`` members, counted beforehand, never meet in one task: their members go to all points
+       within 2 bits of them. Two fingerprints within 4 bits always share such a point and two that share one are within
+       4 bits, so linking every member to its point's least member keeps all components, with rows in proportion to the
+       members.
     6. Components are found by star contraction over stored tables.
 
 Defined results
@@ -28,14 +30,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_classes, materialize, parallelism, ship
+from .common import join_classes, keep_decided, materialize, parallelism, quoted, row_mark, ship, text_slices
 from .components import connected_components
 
 DISTANCE = 4
 WIDTH = 4
 SEED = 42
-#: A cell with more members is linked through points instead of pairs.
+#: A cell with more members is linked through points instead of being held in one task.
 CROWD = 2_000
+#: Bytes of texts that are Python objects at once.
+SLICE_BYTES = 2_000_000
+#: Members that are compared in one go (whole cells).
+CELL_ROWS = 50_000
 _LOW_BITS = 0x5555555555555555
 _WEIGHT = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -69,10 +75,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint(shingle_hashes(t)) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+            found = np.array([fingerprint(shingle_hashes(t)) for _, part in text_slices(batch, 1, SLICE_BYTES) for t in part], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64()), *batch.columns[2:]], names=["doc_id", "fp", "mark"][: batch.num_columns])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *marks)
+    rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"), *marks)
     return rows.mapInArrow(run, "doc_id long, fp long" + ", mark long" * len(marks))
 
 
@@ -108,24 +114,82 @@ def cells(counts: Column, fine: bool) -> Column:
     return F.filter(F.concat(*found), lambda c: c.isNotNull())
 
 
+def embedded(fps: np.ndarray, fine: bool) -> np.ndarray:
+    """:func:`unary_counts` of an array of fingerprints."""
+    if fine:
+        return fps
+    low, high = fps & np.uint64(_LOW_BITS), fps >> np.uint64(1) & np.uint64(_LOW_BITS)
+    return low | high | (low & high) << np.uint64(1)
+
+
+def _join_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Union of the pairs (a, b) in ``root``, which holds every place's root (the least place) before and after."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not (root[root] == root).all():
+            root[:] = root[root]
+
+
+def cell_forest(cell: np.ndarray, fps: np.ndarray, fine: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): a spanning forest of the links inside each cell. Rows are sorted by cell; ``fps`` are unsigned.
+
+    Members are compared with the one d places on, for every d: members that are joined already are passed over, the
+    others take the lower bound and then the exact distance. Memory is in proportion to the members.
+    """
+    n = len(cell)
+    change = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True]) if n else np.zeros(1, dtype=np.int64)
+    end = np.repeat(change[1:], np.diff(change))
+    counts, root, left, d = embedded(fps, fine), np.arange(n), np.arange(n), 1
+    while len(left := left[left + d < end[left]]):
+        i = left[root[left] != root[left + d]]
+        i = i[np.bitwise_count(counts[i] ^ counts[i + d]) <= DISTANCE]
+        i = i[np.bitwise_count(fps[i] ^ fps[i + d]) <= DISTANCE]
+        _join_roots(root, i, i + d)
+        d += 1
+    joined = np.flatnonzero(root != np.arange(n))
+    return fps[root[joined]], fps[joined]
+
+
+def _forests(fine: bool):
+    def run(batches):
+        held = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)]
+
+        def edges(cell, fps):
+            a, b = cell_forest(cell, fps, fine)
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64), pa.int64()) for x in (a, b)], names=["a", "b"])
+
+        for batch in batches:
+            cell = np.concatenate([held[0], batch.column(0).to_numpy()])
+            fps = np.concatenate([held[1], batch.column(1).to_numpy().view(np.uint64)])
+            cut = int(np.searchsorted(cell, cell[-1])) if len(cell) >= CELL_ROWS else 0  # the last cell may go on
+            if cut:
+                yield edges(cell[:cut], fps[:cut])
+            held = [cell[cut:], fps[cut:]]
+        yield edges(*held)
+
+    return run
+
 
 def links(classes: DataFrame, crowd: int = CROWD, fine: bool = False) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp, a stored table) that keep all links' components.
 
     Segments are two bits wide whatever the number of fingerprints; ``fine`` takes one-bit segments, with equal links.
     """
-    embedded = classes.repartition(parallelism(classes.sparkSession), "fp").select("fp", unary_counts(F.col("fp"), fine).alias("counts"))
-    put = embedded.select("fp", "counts", F.explode(cells(F.col("counts"), fine)).alias("cell"))
+    spark = classes.sparkSession
+    ship(spark)
+    held = classes.repartition(parallelism(spark), "fp").select("fp", unary_counts(F.col("fp"), fine).alias("counts"))
+    put = held.select("fp", F.explode(cells(F.col("counts"), fine)).alias("cell"))
     crowded = put.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
     crowded = materialize(crowded.select("cell"), "crowded")
     busy = bool(crowded.take(1))
     light = put.join(crowded, "cell", "left_anti") if busy else put
-    a = light.select("cell", F.col("fp").alias("a"), F.col("counts").alias("ca"))
-    b = light.select("cell", F.col("fp").alias("b"), F.col("counts").alias("cb"))
-    bound = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= DISTANCE
-    exact = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
-    same = a.alias("x").join(b.alias("y").hint("merge"), (F.col("x.cell") == F.col("y.cell")) & (F.col("a") < F.col("b")) & bound & exact, "inner")
-    edges = same.select("a", "b").distinct()
+    light = light.select("cell", "fp").repartition(parallelism(spark), "cell").sortWithinPartitions("cell", "fp")
+    edges = light.mapInArrow(_forests(fine), "a long, b long").distinct()
     if busy:
         members = materialize(put.join(crowded, "cell", "left_semi").select("fp").distinct(), "members")
         signed = [m - (1 << 64) if m >> 63 else m for m in (0, *(1 << i for i in range(64)), *(1 << i | 1 << j for i, j in combinations(range(64), 2)))]
@@ -157,18 +221,13 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with one row of each component, all columns kept: the one of least doc_id.
 
     A row without an id stays only where its whole component has none. Of rows that share the least id the one of least
-    fingerprint stays, then the one whose whole row hashes lowest; of rows that are equal throughout, one.
+    fingerprint stays, then the one whose whole row hashes lowest; of rows that are equal throughout, one. Rows that are
+    alone in their component are not moved.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    mark = F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
-    found = labelled_rows(materialize(fingerprints(docs, id_col, text_col, mark), "fingerprints"))
-    alike = found.groupBy("label", "doc_id", "fp", "mark").agg(F.count(F.lit(1)).alias("n"))
-    first = alike.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "mark", "n")).alias("first"))
-    kept = materialize(first.select(F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__kept_mark"), F.col("first.n").alias("__n")), "kept")
-    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": mark})
-    once = marked.join(kept, F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__kept_mark")), "inner")
-    single = once.filter("__n = 1").select(*columns)
-    if not kept.filter("__n > 1").take(1):
-        return single
-    again = once.filter("__n > 1").groupBy("__id", "__mark").agg(F.first(F.struct(*columns)).alias("__row"))
-    return single.unionByName(again.select("__row.*"))
+    found = labelled_rows(materialize(fingerprints(docs, id_col, text_col, row_mark(docs)), "fingerprints"))
+    alike = materialize(found.groupBy("label", "doc_id", "fp", "mark").agg(F.count(F.lit(1)).alias("n")), "alike")
+    first = alike.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "mark")).alias("first"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("kinds"))
+    groups = materialize(first.filter("members > 1"), "groups")
+    several = join_classes(alike, groups, ["label"], "kinds", alike.count())
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    return keep_decided(docs, id_col, materialize(several.select("doc_id", "mark", kept.alias("kept")), "decided"))

@@ -307,10 +307,41 @@ def test_segments_are_two_bits_wide_at_any_size(spark, tmp_path, monkeypatch):
     assert widths == [False]
 
 
+def test_a_cell_leaves_a_forest_not_its_pairs():
+    """Linked components are the brute-force ones and a cell of n members leaves n - 1 edges at most."""
+    draw = random.Random(9)
+    base = draw.getrandbits(64)
+    near = {base ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for _ in range(300)}
+    far = {draw.getrandbits(64) for _ in range(200)}
+    cells = sorted((c, x) for c, group in enumerate((near, far, near | far, set(list(near)[:1]))) for x in group)
+    cell, fps = np.array([c for c, _ in cells]), np.array([x for _, x in cells], dtype=np.uint64)
+    a, b = simhash.cell_forest(cell, fps)
+    assert len(a) == 2 * (len(near) - 1) and set(a.tolist()) | set(b.tolist()) == near
+    a, b = simhash.cell_forest(cell[:0], fps[:0])
+    assert len(a) == len(b) == 0
+
+
+def test_near_groups_leave_edges_in_proportion(spark, tmp_path):
+    """Edges out of the grid join follow the number of members of a near group, not its square."""
+    draw, made = random.Random(10), []
+    base = draw.getrandbits(64)
+    for n in (150, 300, 600):
+        fps = set()
+        while len(fps) < n:
+            x = base
+            for bit in draw.sample(range(64), 2):
+                x ^= 1 << bit
+            fps.add(x - (1 << 64) if x >> 63 else x)
+        spark.createDataFrame([(x,) for x in fps], "fp long").write.parquet(f"{tmp_path}/fp{n}")
+        edges = simhash.links(spark.read.parquet(f"{tmp_path}/fp{n}"))
+        made.append(edges.count())
+        assert {r.label for r in connected_components(edges).collect()} == {min(fps)}
+    assert made[2] < 2.6 * made[1] < 2.6 * 2.6 * made[0]
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
-    for local in (10**6, 150, 0):
-        assert Counter(r.label for r in connected_components(edges, local).collect()) == {0: 201, 500: 2}
+    assert Counter(r.label for r in connected_components(edges).collect()) == {0: 201, 500: 2}
 
 
 def test_packing_is_whole_and_tight(docs):
