@@ -28,8 +28,14 @@ def decimal_to_bytes(value: Column, scale: int) -> Column:
         digits = F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(signed), 16, "0"))
         return F.unhex(F.regexp_replace(digits, r"^(?:(?:00)+(?=[0-7].)|(?:FF)+(?=[89A-F].))", ""))
 
-    plain = F.replace(value.cast(f"decimal(38,{scale})").cast("string"), F.lit("."), F.lit("")).cast(_WHOLE)
-    return F.when(value.isNotNull(), let(plain, halves))
+    def unscaled(number: Column) -> Column:
+        # a number under one, plus one, is never printed with an exponent; its leading 1 is then a 0
+        small = F.abs(number).cast(f"decimal({max(scale, 1)},{scale})") + F.lit(1).cast("decimal(1,0)")
+        below = F.concat(F.when(number < 0, F.lit("-0")).otherwise(F.lit("0")), F.substring(small.cast("string"), F.lit(2), F.lit(64)))
+        text = F.when(F.abs(number) < 1, below).otherwise(number.cast("string")) if scale else number.cast("string")
+        return F.replace(text, F.lit("."), F.lit("")).cast(_WHOLE)
+
+    return F.when(value.isNotNull(), let(let(value.cast(f"decimal(38,{scale})"), unscaled), halves))
 
 
 def bytes_to_decimal(data: Column, scale: int) -> Column:

@@ -7,6 +7,7 @@ spliced from texts, because its pairs hold different types.
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def _with_null_rule(schema: Schema, value: Column, config: CodecConfig, where: s
         return F.coalesce(value, _default(schema))
     if schema.optional:
         return value
-    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(f"Conversion error: null value for field that is required and has no default value: {where}")))
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(f"{where} is null, but it is required and has no default")))
 
 
 def _logical(schema: Schema, value: Column, config: CodecConfig) -> Column | None:
@@ -80,7 +81,8 @@ def _native(schema: Schema, value: Column, config: CodecConfig, where: str) -> C
 def _text(schema: Schema, value: Column, config: CodecConfig, where: str) -> Column:
     """JSON text, ``null`` for null."""
     if not _has_pairs(schema):
-        return _text_of(_native(schema, value, config, where))
+        native = _native(schema, value, config, where)
+        return F.coalesce(F.to_json(native, _KEEP), F.lit("null")) if schema.type == "struct" else _text_of(native)
     value = _with_null_rule(schema, value, config, where)
     if schema.type == "array":
         body = F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: _text(schema.items, x, config, f"{where}[]")), ","), F.lit("]"))
@@ -96,9 +98,17 @@ def _text(schema: Schema, value: Column, config: CodecConfig, where: str) -> Col
     return F.when(value.isNotNull(), body).otherwise(F.lit("null"))
 
 
-def encode(value: Column, schema: Schema, config: CodecConfig = SINK_CODEC) -> Column:
-    """JSON text of a value of any type, scalars too. A null value: ``null`` if optional, its default or an error."""
-    return _text(schema, value, config, "value")
+def encode(value: Column, schema: Schema, config: CodecConfig = SINK_CODEC, absent: tuple[str, ...] = ()) -> Column:
+    """JSON text of a value of any type, scalars too. A null value: ``null`` if optional, its default or an error.
+
+    Fields of a struct that are named in ``absent`` are left out where they are null: records of one column then print as
+    if each had a type of its own.
+    """
+    named = [n for n, _ in schema.fields if n in absent]
+    if not named:
+        return _text(schema, value, config, "value")
+    without = replace(schema, fields=tuple((n, s) for n, s in schema.fields if n != named[0]))
+    return F.when(value[named[0]].isNull(), encode(value, without, config, absent)).otherwise(encode(value, schema, config, tuple(named[1:])))
 
 
 def encode_schemaless(value: Column, kind: T.DataType) -> Column:

@@ -13,11 +13,12 @@ from ..plans.routing import table_for
 from ..plans.schema import Schema
 
 
-def build_rows(df: DataFrame, form: str = "json", schema: Schema | None = None, column: str = "value") -> DataFrame:
+def build_rows(df: DataFrame, form: str = "json", schema: Schema | None = None, column: str = "value", absent: tuple[str, ...] = ()) -> DataFrame:
     """Add ``row``; records without a value (tombstones) go, empty texts stay.
 
     csv: the value is the row and must be text. json: the value encoded under ``schema``, else under the schema that the
-    column's type and metadata give; a plain text is a JSON string, it is not parsed.
+    column's type and metadata give; a plain text is a JSON string, it is not parsed. Null fields named in ``absent``
+    are left out.
     """
     kind = df.schema[column].dataType
     value = F.col(column)
@@ -29,7 +30,7 @@ def build_rows(df: DataFrame, form: str = "json", schema: Schema | None = None,
         if isinstance(kind, T.VariantType):
             row = encode_schemaless(value, kind)
         else:
-            row = encode(value, schema or Schema.from_data_type(kind, metadata=df.schema[column].metadata), SINK_CODEC)
+            row = encode(value, schema or Schema.from_data_type(kind, metadata=df.schema[column].metadata), SINK_CODEC, absent)
     else:
         raise ConfigError("data format are not support")
     return df.filter(value.isNotNull()).withColumn("row", row)

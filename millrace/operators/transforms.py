@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -11,12 +12,14 @@ from pyspark.sql import types as T
 
 from ..functions.json_decode import wrap
 from ..functions.json_encode import encode
-from ..plans.schema import NAME, TIME, Schema
+from ..plans.schema import NAME, SCHEMA, TIME, Schema
 
 OP_FIELD = "__op"
 #: Of each operation: the side of the envelope that is tagged, and the tag (0 upserts, 1 deletes).
 OPERATIONS = {"c": ("after", 0), "u": ("after", 0), "d": ("before", 1)}
 DAY_MS = 86_400_000
+#: End of the schema names of change-capture envelopes, fixed by the envelope format.
+ENVELOPE_NAME = ".Envelope"
 
 
 def _struct(df: DataFrame, column: str) -> T.StructType | None:
@@ -24,9 +27,33 @@ def _struct(df: DataFrame, column: str) -> T.StructType | None:
     return kind if isinstance(kind, T.StructType) else None
 
 
-def _taggable(kind: T.StructType | None) -> list[str]:
-    """The sides that can be tagged: structs that have no tag yet, in an envelope with a text ``op``."""
-    if kind is None or "op" not in kind.names or not isinstance(kind["op"].dataType, T.StringType):
+def _rebuilt(value: Column, kind: T.StructType, changed: dict[str, Column]) -> Column:
+    """A struct with some fields changed or added at its end; null stays null. Written as a choice, so that a later step
+    refers to it instead of having it copied into each of its own fields."""
+    fields = [changed[f.name].alias(f.name) if f.name in changed else value.getField(f.name).alias(f.name, metadata=f.metadata) for f in kind.fields]
+    added = [c.alias(n) for n, c in changed.items() if n not in kind.names]
+    return F.when(value.isNotNull(), F.struct(*fields, *added))
+
+
+def with_fields(df: DataFrame, column: str, changed: dict[str, Column]) -> DataFrame:
+    """``df`` with fields of a struct column changed or added. The column's metadata stays."""
+    field = df.schema[column]
+    return df.withColumn(column, _rebuilt(F.col(column), field.dataType, changed)).withMetadata(column, field.metadata)
+
+
+def schema_name(metadata: dict) -> str | None:
+    """The schema name that field metadata hold."""
+    return metadata.get(NAME) or (json.loads(metadata[SCHEMA]).get("name") if SCHEMA in metadata else None)
+
+
+def is_envelope(name: str | None) -> bool:
+    """Change-capture envelopes are told by the name of their schema."""
+    return bool(name) and name.endswith(ENVELOPE_NAME)
+
+
+def _taggable(kind: T.StructType | None, name: str | None) -> list[str]:
+    """The sides that can be tagged: structs that have no tag yet, in a named envelope with a text ``op``."""
+    if kind is None or not is_envelope(name) or "op" not in kind.names or not isinstance(kind["op"].dataType, T.StringType):
         return []
     return [s for s in ("after", "before") if s in kind.names and isinstance(kind[s].dataType, T.StructType) and OP_FIELD not in kind[s].dataType.names]
 
@@ -34,20 +61,25 @@ def _taggable(kind: T.StructType | None) -> list[str]:
 def tag_operations(df: DataFrame, column: str = "value") -> DataFrame:
     """Append ``__op`` to ``after`` (c, u: 0) or ``before`` (d: 1) of change-capture envelopes.
 
-    A column has one type, so both sides are widened; ``__op`` is null wherever a record is left as it is (other
-    operations, a null operation, a null side). :func:`encode_tagged` prints such records without the key.
+    An envelope is a struct column whose schema name (field metadata ``connect.name``, or the schema kept there) ends in
+    ``.Envelope``; all else is returned as it is. A column has one type, so both sides are widened; ``__op`` is null
+    wherever a record is left as it is (other operations, a null operation, a null side). Rows that are built with
+    ``absent=("__op",)`` and :func:`encode_tagged` print such records without the key.
     """
-    sides = _taggable(_struct(df, column))
+    kind = _struct(df, column)
+    sides = _taggable(kind, schema_name(df.schema[column].metadata))
+    if not sides:
+        return df
+    value, changed = F.col(column), {}
     for side in sides:
-        ops = {op: tag for op, (s, tag) in OPERATIONS.items() if s == side}
-        tag = F.coalesce(*[F.when(F.col(column)["op"] == op, F.lit(t)) for op, t in ops.items()])
-        df = df.withColumn(column, F.col(column).withField(f"{side}.{OP_FIELD}", tag))
-    return df
+        tag = F.coalesce(*[F.when(value["op"] == op, F.lit(t)) for op, (s, t) in OPERATIONS.items() if s == side])
+        changed[side] = _rebuilt(value[side], kind[side].dataType, {OP_FIELD: tag})
+    return with_fields(df, column, changed)
 
 
 def encode_tagged(value: Column, schema: Schema) -> Column:
     """JSON text of an untagged envelope as tagging leaves it: each branch is encoded under its own schema."""
-    fields = dict(schema.fields)
+    fields = dict(schema.fields) if is_envelope(schema.name) else {}
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for op, (side, tag) in OPERATIONS.items():
         own = fields.get(side)
@@ -110,10 +142,7 @@ def times_to_text(df: DataFrame, column: str | None = "value", fields: str | lis
         return df
     if column is None:
         return df.withColumns({f.name: _time_text(F.col(f"`{f.name}`"), f.dataType, pattern) for f in chosen})
-    value = F.col(column)
-    for f in chosen:
-        value = value.withField(f"`{f.name}`", _time_text(F.col(column)[f.name], f.dataType, pattern))
-    return df.withColumn(column, value)
+    return with_fields(df, column, {f.name: _time_text(F.col(column).getField(f.name), f.dataType, pattern) for f in chosen})
 
 
 def unwrap(df: DataFrame, column: str = "value") -> DataFrame:
@@ -122,10 +151,9 @@ def unwrap(df: DataFrame, column: str = "value") -> DataFrame:
     An adapter for the step that stands between tagging and the sink; run :func:`times_to_text` after it, since that
     looks at top-level fields only.
     """
-    value = F.col(column)
-    row = F.coalesce(value["after"], value["before"])
+    value, kind = F.col(column), _struct(df, column)["after"].dataType
     deleted = F.when(value["op"] == "d", F.lit("true")).otherwise(F.lit("false"))
-    return df.withColumn(column, row.withField("__deleted", deleted))
+    return df.withColumn(column, _rebuilt(F.coalesce(value["after"], value["before"]), kind, {"__deleted": deleted}))
 
 
 def chain(*transforms: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:

@@ -20,10 +20,6 @@ RANGES = {
     "sink.maxretries": (3, -1, 2**63 - 1),
 }
 NOT_EMPTY = ("store.http.url", "store.database.name", "store.username", "store.topic2table.map", "sink.properties.format")
-#: Fixed limits of a load.
-CHUNK_LIMIT, CONTINUE_TIMEOUT_MS, IO_THREADS, SCAN_MS = 3 * 1024**3, 3000, 2, 50
-#: A load needs a default table name, which nothing is written to.
-DEFAULT_TABLE = "_default_table"
 
 
 def canonical(settings: dict[str, str]) -> dict[str, str]:

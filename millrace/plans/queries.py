@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import __version__
 from ..functions import json_decode, json_encode
 from ..functions.decimals import bytes_to_decimal
 from ..functions.delimiter import parse_delimiter
 from ..operators import rows as row_ops
 from ..operators import transforms
-from ..streaming.delivery import Pipeline, TableWriter
-from .config import CodecConfig, SinkConfig
-from .routing import table_for, valid_table_name_column
-from .schema import DATE, NAME, TIME, Schema
+from ..sources.records import file_stream
+from ..streaming.delivery import Pipeline, RetryExceeded, TableWriter
+from ..streaming.store import shared_folder
+from .config import CodecConfig, SinkConfig, validate
+from .routing import parse_topic_map, table_for, topic_map, valid_table_name_column
+from .schema import DATE, DECIMAL, NAME, TIME, TIMESTAMP, Schema
 
 SETTINGS = {"store.http.url": "host:8030", "store.database.name": "db", "store.username": "u", "store.password": ""}
 TOPICS = {"click": "t_click", "view": "t_view"}
@@ -177,9 +180,9 @@ def _envelopes(spark, sf_dir) -> DataFrame:
     """Change-capture envelopes made from orders: O creates, P updates, F deletes; every seventh is a snapshot read."""
     state = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
     op = F.when(F.col("o_orderkey") % 7 == 0, "r").when(F.col("o_orderstatus") == "O", "c").when(F.col("o_orderstatus") == "P", "u").otherwise("d")
-    df = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", op.alias("op"), state.alias("state"))
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", op.alias("op"), state.alias("state"))
     value = F.struct("op", F.when(F.col("op") != "c", F.col("state")).alias("before"), F.when(F.col("op") != "d", F.col("state")).alias("after"))
-    return df.select("o_orderkey", "o_orderdate", value.alias("value"))
+    return df.select("o_orderkey", "o_custkey", "o_orderdate", value.alias("value", metadata={NAME: "orders.Envelope"}))
 
 
 def _tagged(spark, sf_dir) -> DataFrame:
@@ -201,13 +204,13 @@ def cdc_tag_passthrough(spark, sf_dir):
 
 def cdc_tag_rows(spark, sf_dir):
     df = _envelopes(spark, sf_dir)
-    return df.select("o_orderkey", transforms.encode_tagged(F.col("value"), Schema.from_data_type(df.schema["value"].dataType)).alias("j"))
+    schema = replace(Schema.from_data_type(df.schema["value"].dataType), name="orders.Envelope")
+    return df.select("o_orderkey", transforms.encode_tagged(F.col("value"), schema).alias("j"))
 
 
 def cdc_unwrap_apply(spark, sf_dir):
     """The state that tagged changes leave in a table keyed by customer: the latest change wins, deletes go."""
-    df = _envelopes(spark, sf_dir).join(_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
-    df = transforms.chain(transforms.tag_operations, transforms.unwrap)(df)
+    df = transforms.chain(transforms.tag_operations, transforms.unwrap)(_envelopes(spark, sf_dir))
     last = df.groupBy("o_custkey").agg(F.max_by(F.struct("value.id", "value.name", "value.__deleted"), "o_orderkey").alias("w"))
     return last.filter("w.__deleted = 'false'").select("o_custkey", "w.id", "w.name")
 
@@ -250,28 +253,353 @@ def delimiter_parse(spark, sf_dir):
     return spark.createDataFrame([(t, parse_delimiter(t)) for t in texts], "given string, parsed string")
 
 
+def _events(spark, sf_dir, config: SinkConfig) -> DataFrame:
+    """Events as a file stream; a file stream reads a folder, so the name filter picks the table out of it."""
+    return file_stream(spark, sf_dir, config, _table(spark, sf_dir, "events").schema, options={"pathGlobFilter": "events.parquet"})
+
+
+def _ingest(spark, sf_dir, writer_of=TableWriter, settings: dict | None = None, transform=None):
+    """(pipeline, writer, records): events as a stream into a new store under the shared folder."""
+    config = SinkConfig.from_dict({**SETTINGS, "store.topic2table.map": ",".join(f"{a}:{b}" for a, b in TOPICS.items()), **(settings or {})})
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    records = lambda df: df.select(F.col("event_type").alias("topic"), F.when(F.col("event_id") % 10 != 0, F.struct("event_id", "user_id", "event_type")).alias("value"))
+    writer = writer_of(f"{root}/out", config)
+    return Pipeline(config, writer, f"{root}/checkpoint", transform=transform or records), writer, lambda: _events(spark, sf_dir, config)
+
+
 def stream_ingest_events(spark, sf_dir):
     """Events as a stream, delivered table by table and read back."""
-    config = SinkConfig.from_dict({**SETTINGS, "store.topic2table.map": ",".join(f"{a}:{b}" for a, b in TOPICS.items())})
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-stream-")
-    root = f"{root}/stream-{uuid.uuid4().hex}"
-    schema = _table(spark, sf_dir, "events").schema
-    # a file stream reads a folder; the name filter picks the table out of it
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxBytesPerTrigger", str(config.max_bytes)).parquet(sf_dir)
-    records = lambda df: df.select(F.col("event_type").alias("topic"), F.when(F.col("event_id") % 10 != 0, F.struct("event_id", "user_id", "event_type")).alias("value"))
-    writer = TableWriter(f"{root}/out", config)
-    Pipeline(config, writer, f"{root}/checkpoint", transform=records).run(lambda: stream, once=True)
+    pipeline, writer, records = _ingest(spark, sf_dir)
+    pipeline.run(records, once=True)
     return writer.read(spark)
 
 
+class _Away(TableWriter):
+    """A store that is away for the first three deliveries."""
+
+    tries = 0
+
+    def write(self, rows, batch):
+        self.tries += 1
+        if self.tries <= 3:
+            raise OSError("store is away")
+        return super().write(rows, batch)
+
+
+def delivery_replay(spark, sf_dir):
+    """Failed deliveries are replayed from the last commit; nothing is lost or seen twice."""
+    pipeline, writer, records = _ingest(spark, sf_dir, _Away)
+    pipeline.run(records, once=True)
+    return writer.read(spark).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row").alias("n_distinct")).withColumn("tries", F.lit(min(writer.tries, 4)))
+
+
+def delivery_retry_limit(spark, sf_dir):
+    """With a limit of one, the attempt after the second failure is refused; nothing is visible."""
+    pipeline, writer, records = _ingest(spark, sf_dir, _Away, {"sink.maxretries": "1"})
+    refused = False
+    try:
+        pipeline.run(records, once=True)
+    except RetryExceeded:
+        refused = True
+    return writer.read(spark).agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(writer.tries).alias("tries"), F.lit(refused).alias("refused"))
+
+
+def delivery_bad_record(spark, sf_dir):
+    """A record that cannot be encoded fails its batch, which is replayed until the limit; nothing of it is visible."""
+    bad = lambda df: df.select(F.col("event_type").alias("topic"), F.struct(F.when(F.col("event_id") == 7, F.raise_error(F.lit("bad record"))).otherwise(F.col("event_id")).alias("event_id")).alias("value"))
+    pipeline, writer, records = _ingest(spark, sf_dir, settings={"sink.maxretries": "0"}, transform=bad)
+    refused = False
+    try:
+        pipeline.run(records, once=True)
+    except RetryExceeded:
+        refused = True
+    return writer.read(spark).agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(pipeline.gate.failures).alias("failures"), F.lit(refused).alias("refused"))
+
+
+def delivery_two_phase(spark, sf_dir):
+    """Staged batches are invisible, committed ones visible, aborted ones gone; a batch that is staged again counts once."""
+    _, writer, _ = _ingest(spark, sf_dir)
+    rows = row_ops.route(row_ops.build_rows(_records(spark, sf_dir)), TOPICS).select("tbl", "row", "event_id")
+    odd, even = rows.filter("event_id % 2 = 1"), rows.filter("event_id % 2 = 0")
+    counts = []
+    for step in (lambda: writer.write(odd, 0), lambda: writer.commit(spark), lambda: writer.write(even, 1), lambda: writer.abort(spark, 1), lambda: writer.commit(spark), lambda: writer.write(odd, 0), lambda: writer.commit(spark)):
+        step()
+        counts.append(writer.read(spark).count())
+    names = ["staged", "committed", "staged_more", "aborted", "committed_nothing", "staged_again", "committed_again"]
+    return writer.read(spark).groupBy("tbl").agg(F.count(F.lit(1)).alias("n")).select("tbl", "n", *[F.lit(c).cast("long").alias(n) for n, c in zip(names, counts)])
+
+
+def delivery_table_names(spark, sf_dir):
+    """Tables are texts: names that look like numbers come back as they were."""
+    _, writer, _ = _ingest(spark, sf_dir)
+    rows = _table(spark, sf_dir, "nation").select(F.concat(F.lit("00"), F.col("n_regionkey").cast("string")).alias("tbl"), F.col("n_name").alias("row"))
+    writer.write(rows, 0)
+    writer.commit(spark)
+    return writer.read(spark)
+
+
+def delivery_load_properties(spark, sf_dir):
+    """What a commit is loaded with: endpoints, database and pass-through properties under lower-case names."""
+    _, writer, _ = _ingest(spark, sf_dir, settings={"store.http.url": "a:1, b:2", "sink.properties.Strip_Outer": "Yes", "sink.properties.columns": "c1,c2"})
+    writer.write(_table(spark, sf_dir, "region").select(F.col("r_name").alias("tbl"), F.col("r_name").alias("row")), 0)
+    writer.commit(spark)
+    made = writer.committed(spark).select("batch", "database", "endpoints", F.explode("properties").alias("key", "value"))
+    return made.select("batch", "database", F.concat_ws("|", "endpoints").alias("endpoints"), "key", "value")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records of orders, tagged, unwrapped, times as text, encoded and routed: table and row of each."""
+    """Change records of orders, tagged, unwrapped, times as text, encoded and routed: table and row of each. Snapshot
+    reads, which are not tagged, print without the tag."""
     df = _envelopes(spark, sf_dir).withColumn("topic", F.concat(F.lit("orders_"), F.col("value.op")))
     df = transforms.chain(transforms.tag_operations, transforms.unwrap)(df)
     millis = (F.unix_millis(F.col("o_orderdate").cast("timestamp")) % transforms.DAY_MS).cast("int")
-    df = df.withColumn("value", F.col("value").withField("at", millis))
-    df = transforms.times_to_text(df, fields="at")
-    return row_ops.route(row_ops.build_rows(df), {"orders_c": "orders", "orders_u": "orders"}).select("o_orderkey", "tbl", "row")
+    df = transforms.times_to_text(transforms.with_fields(df, "value", {"at": millis}), fields="at")
+    rows = row_ops.build_rows(df, absent=(transforms.OP_FIELD,))
+    return row_ops.route(rows, {"orders_c": "orders", "orders_u": "orders"}).select("o_orderkey", "tbl", "row")
+
+
+def cdc_unnamed_untouched(spark, sf_dir):
+    """A struct that looks like an envelope but is not named as one is left as it is."""
+    df = _envelopes(spark, sf_dir).withMetadata("value", {NAME: "orders.Value"})
+    tagged = transforms.tag_operations(df)
+    names = lambda side: ",".join(tagged.schema["value"].dataType[side].dataType.names)
+    return tagged.select("o_orderkey", "value.op", F.lit(names("before")).alias("before_fields"), F.lit(names("after")).alias("after_fields"))
+
+
+def _text(*parts) -> F.Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def decode_tombstone(spark, sf_dir):
+    """Null bytes are null, with and without a schema; all others are their payload."""
+    data = F.when(F.col("o_orderkey") % 3 != 0, _text('{"schema":null,"payload":', F.col("o_custkey"), "}").cast("binary"))
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", data.alias("b"))
+    typed, free = json_decode.from_bytes(F.col("b"), Schema("int64", True)), json_decode.from_bytes(F.col("b"))
+    return df.select("o_orderkey", typed.alias("v"), F.try_variant_get(free, "$", "bigint").alias("w"))
+
+
+def decode_null_rules(spark, sf_dir):
+    """Null and absent fields: the default, null, or with replacement off null in spite of the default."""
+    fields = (("d", Schema("int32", True, default=7)), ("o", Schema("string", True)))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.lit('{"d":null,"o":null}')).when(F.col("o_orderkey") % 3 == 1, F.lit("{}")).otherwise(_text('{"d":', F.col("o_custkey"), ',"o":"x"}'))
+    schema = Schema("struct", fields=fields)
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", json_decode.decode(text, schema).alias("on"), json_decode.decode(text, schema, CodecConfig(replace_null_with_default=False)).alias("off"))
+    return df.select("o_orderkey", F.col("on.d").alias("d"), F.col("on.o").alias("o"), F.col("off.d").alias("d_off"))
+
+
+def decode_bytes(spark, sf_dir):
+    text = F.to_json(F.struct(F.base64(F.encode("c_name", "UTF-8")).alias("b")))
+    df = _table(spark, sf_dir, "customer").select("c_custkey", json_decode.decode(text, Schema("struct", fields=(("b", Schema("bytes")),)))["b"].alias("b"))
+    return df.select("c_custkey", F.hex("b").alias("h"))
+
+
+def decode_array(spark, sf_dir):
+    """Arrays element by element; an object gives its values, a scalar nothing."""
+    items = Schema("array", items=Schema("int64", True))
+    df = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        json_decode.decode(_text("[", F.col("o_custkey"), ",null,", F.col("o_orderkey"), "]"), items).alias("a"),
+        json_decode.decode(_text('{"a":', F.col("o_custkey"), ',"b":2}'), items).alias("o"),
+        json_decode.decode(F.lit("5"), items).alias("s"),
+    )
+    return df.select("o_orderkey", F.col("a")[0].alias("a0"), F.col("a")[1].alias("a1"), F.col("a")[2].alias("a2"), F.col("o")[0].alias("o0"), F.col("o")[1].alias("o1"), F.size("s").alias("n"))
+
+
+def decode_map_text(spark, sf_dir):
+    made = json_decode.decode(_text('{"', F.lower("n_name"), '":', F.col("n_regionkey"), ',"z":null}'), Schema("map", keys=Schema("string"), values=Schema("int32", True)))
+    df = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", made.alias("m"))
+    return df.select("n_nationkey", F.element_at("m", F.lower("n_name")).alias("v"), F.element_at("m", F.lit("z")).alias("z"), F.size("m").alias("n"))
+
+
+def decode_map_pairs(spark, sf_dir):
+    """Maps under other keys are arrays of pairs; of a key that is given twice the last pair counts."""
+    text = _text("[[", F.col("n_nationkey"), ',"first"],[-1,"', F.col("n_name"), '"],[', F.col("n_nationkey"), ',"last"]]')
+    df = _table(spark, sf_dir, "nation").select("n_nationkey", json_decode.decode(text, Schema("map", keys=Schema("int32"), values=Schema("string"))).alias("m"))
+    return df.select("n_nationkey", F.element_at("m", F.col("n_nationkey").cast("int")).alias("v"), F.element_at("m", F.lit(-1)).alias("other"), F.size("m").alias("n"))
+
+
+def decode_time_types(spark, sf_dir):
+    fields = (("t", Schema("int32", name=TIME)), ("ts", Schema("int64", name=TIMESTAMP)), ("d", Schema("int32", name=DATE)))
+    millis = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)
+    text = _text('{"t":', millis % transforms.DAY_MS, ',"ts":', millis, ',"d":', F.floor(millis / transforms.DAY_MS), "}")
+    df = _table(spark, sf_dir, "events").select("event_id", json_decode.decode(text, Schema("struct", fields=fields)).alias("w"))
+    return df.select("event_id", "w.t", F.unix_millis("w.ts").alias("ms"), F.unix_date("w.d").alias("day"))
+
+
+def decode_decimals(spark, sf_dir):
+    """Decimals from numbers and from the base64 of their bytes."""
+    schema = Schema("bytes", name=DECIMAL, version=1, parameters={"scale": "2"})
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", json_decode.decode(price.cast("string"), schema).alias("n"), json_decode.decode(json_encode.encode(price, schema, CodecConfig()), schema).alias("b"))
+    return df.select("o_orderkey", F.col("n").cast("string").alias("n"), F.col("b").cast("string").alias("b"))
+
+
+def decode_floats(spark, sf_dir):
+    fields = (("f", Schema("float")), ("d", Schema("double")), ("s", Schema("double")))
+    text = _text('{"f":', F.col("n_nationkey"), '.5,"d":', F.col("n_nationkey"), '.25,"s":"1"}')
+    df = _table(spark, sf_dir, "nation").select("n_nationkey", json_decode.decode(text, Schema("struct", fields=fields)).alias("w"))
+    return df.select("n_nationkey", F.col("w.f").cast("double").alias("f"), "w.d", "w.s")
+
+
+def json_decode_beyond_int64(spark, sf_dir):
+    """Integers beyond 64 bits keep their low bits, as smaller ones beyond 32 bits do."""
+    text = lambda base: (F.lit(str(base)).cast("decimal(38,0)") + F.col("o_orderkey").cast("decimal(20,0)")).cast("string")
+    df = _table(spark, sf_dir, "orders")
+    return df.select("o_orderkey", json_decode.decode(text(2**64), Schema("int32")).alias("a"), json_decode.decode(text(2**64), Schema("int64")).alias("b"), json_decode.decode(text(2**63), Schema("int64")).alias("c"), json_decode.decode(text(2**32), Schema("int32")).alias("d"))
+
+
+def json_duplicate_keys(spark, sf_dir):
+    """Of a key that is given twice the last value counts, with and without a schema."""
+    text = _text('{"k":1,"x":0,"k":', F.col("n_nationkey"), "}")
+    df = _table(spark, sf_dir, "nation")
+    free = json_encode.encode_schemaless(json_decode.decode_schemaless(text), T.VariantType())
+    return df.select("n_nationkey", json_decode.decode(text, Schema("struct", fields=(("k", Schema("int32")),)))["k"].alias("k"), free.alias("j"))
+
+
+def json_encode_defaults(spark, sf_dir):
+    """A null is its default where nulls are replaced; the sink prints it as null."""
+    fields = (("s", Schema("string", True, default="none")), ("n", Schema("int32", True, default=5)))
+    df = _table(spark, sf_dir, "orders").select("o_orderkey", F.struct(F.nullif("o_orderstatus", F.lit("O")).alias("s"), F.lit(None).cast("int").alias("n")).alias("v"))
+    on = json_encode.encode(F.col("v"), Schema("struct", fields=fields), CodecConfig())
+    return df.select("o_orderkey", on.alias("j"), json_encode.encode(F.col("v"), Schema("struct", fields=fields)).alias("off"))
+
+
+def json_time_millis(spark, sf_dir):
+    return _encoded(_times(spark, sf_dir), "event_id", "t", "user_id")
+
+
+def json_floats(spark, sf_dir):
+    """Numbers with fractions; NaN and the infinities are texts."""
+    d = F.when(F.col("n_nationkey") % 4 == 0, F.lit(float("nan"))).when(F.col("n_nationkey") % 4 == 1, F.lit(float("inf"))).when(F.col("n_nationkey") % 4 == 2, F.lit(float("-inf"))).otherwise(F.col("n_nationkey") + 0.25)
+    return _encoded(_table(spark, sf_dir, "nation"), "n_nationkey", d.alias("d"), d.cast("float").alias("f"))
+
+
+def json_numbers(spark, sf_dir):
+    """Integers of all widths, and booleans."""
+    fields = [F.col("n_nationkey").cast(k).alias(k) for k in ("tinyint", "smallint", "int", "bigint")]
+    return _encoded(_table(spark, sf_dir, "nation"), "n_nationkey", *fields, (F.col("n_nationkey") % 2 == 0).alias("even"))
+
+
+def json_decimal_bytes(spark, sf_dir):
+    """Prices and small fractions as the base64 of their unscaled bytes, hex for reading."""
+    schema = Schema("bytes", name=DECIMAL, version=1, parameters={"scale": "10"})
+    price, small = F.col("o_totalprice").cast("decimal(18,2)"), (F.col("o_orderkey").cast("decimal(10,0)") * F.lit("0.0000000001").cast("decimal(20,10)")).cast("decimal(28,10)")
+    code = lambda c: F.hex(F.unbase64(F.regexp_replace(json_encode.encode(c, schema, CodecConfig()), '"', "")))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", code(price).alias("p"), code(small).alias("s"), code(-small).alias("m"))
+
+
+def json_null_bytes(spark, sf_dir):
+    """No value and no schema: null bytes; a value without a schema: its envelope under a null one."""
+    value = F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name"))
+    df = _table(spark, sf_dir, "nation")
+    off = json_encode.to_bytes(value, None, T.StringType(), CodecConfig(schemas_enable=False))
+    return df.select("n_nationkey", json_encode.to_bytes(value, None, T.StringType()).cast("string").alias("j"), off.cast("string").alias("plain"))
+
+
+def header_round_trip(spark, sf_dir):
+    """Headers are values under names that are left alone."""
+    headers = F.array(F.struct(F.lit("key").alias("key"), F.col("n_nationkey").cast("int").alias("value")), F.struct(F.lit("region").alias("key"), F.col("n_regionkey").cast("int").alias("value")))
+    df = _table(spark, sf_dir, "nation").select("n_nationkey", json_encode.headers_to_bytes(headers, Schema("int32")).alias("h"))
+    df = df.select("n_nationkey", "h", json_decode.headers_from_bytes(F.col("h"), Schema("int32")).alias("b"))
+    return df.select("n_nationkey", F.col("h")[0]["value"].cast("string").alias("j"), F.col("b")[0]["key"].alias("k0"), F.col("b")[0]["value"].alias("v0"), F.col("b")[1]["key"].alias("k1"), F.col("b")[1]["value"].alias("v1"))
+
+
+def schema_translation(spark, sf_dir):
+    """The schemas of all tables' columns as JSON schemas and back: type, name, optional and whether it came back equal."""
+    found = []
+    for table in ("customer", "documents", "events", "lineitem", "nation", "orders", "part", "region", "supplier"):
+        schema = Schema.from_data_type(_table(spark, sf_dir, table).schema, False)
+        again = Schema.from_json_schema(schema.to_json_schema())
+        found += [(table, n, s.type, s.name, s.optional, again.fields[i] == (n, s)) for i, (n, s) in enumerate(schema.fields)]
+    return spark.createDataFrame(found, "tbl string, field string, type string, name string, optional boolean, equal boolean")
+
+
+def schema_defaults(spark, sf_dir):
+    """Only a literal true is optional; defaults are kept and decoded with the schema's own type."""
+    texts = ['{"type":"int32"}', '{"type":"int32","optional":"true"}', '{"type":"int32","optional":true,"default":5}', '{"type":"string","optional":true,"default":"x"}']
+    df = _table(spark, sf_dir, "region")
+    made = [Schema.from_json_schema(t) for t in texts]
+    flags = [F.lit(s.optional).alias(f"optional_{i}") for i, s in enumerate(made)]
+    values = [json_decode.decode(F.lit("null"), s).cast("string").alias(f"default_{i}") for i, s in enumerate(made) if s.optional]
+    return df.select("r_regionkey", *flags, *values)
+
+
+def route_malformed_map(spark, sf_dir):
+    """A malformed pair disables the whole map, empty pieces at the end do not, blanks are trimmed."""
+    df = _table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("topic"))
+    maps = {"bad": "click:t_click,view", "tail": "click:t_click:,view:t_view,", "blank": " click : t_click "}
+    return df.select("event_id", *[table_for(F.col("topic"), topic_map(m)).alias(n) for n, m in maps.items()])
+
+
+def delimiter_rows(spark, sf_dir):
+    """CSV rows written and read with a delimiter of several characters, bytes from 0x80 on among them."""
+    settings = {"sink.properties.format": "csv", "sink.properties.row_delimiter": r"\x01E402"}
+    _, writer, _ = _ingest(spark, sf_dir, settings=settings)
+    rows = _table(spark, sf_dir, "customer").select(F.lit("t_customer").alias("tbl"), F.concat_ws(",", "c_custkey", "c_name").alias("row"))
+    writer.write(rows, 0)
+    writer.commit(spark)
+    return writer.read(spark).select("row", F.lit(writer.config.row_delimiter).alias("delimiter"))
+
+
+def config_rules(spark, sf_dir):
+    """Which keys of some settings are wrong: missing, empty, out of range, no number; defaults and unknown keys are right."""
+    good = SETTINGS
+    cases = {
+        "good": good, "none": {}, "empty_user": {**good, "store.username": ""}, "no_password": {k: v for k, v in good.items() if "password" not in k}, "small_flush": {**good, "bufferflush.maxbytes": "67108863"}, "large_flush": {**good, "bufferflush.maxbytes": "10737418241"},
+        "slow": {**good, "connect.timeoutms": "60001"}, "text": {**good, "bufferflush.intervalms": "x"}, "endless": {**good, "sink.maxretries": "-1"}, "below": {**good, "sink.maxretries": "-2"}, "unknown": {**good, "sink.properties.row_delimiter": ",", "other": ""}, "vendor": {k.replace("store.", "shop."): v for k, v in good.items()},
+    }
+    found = [(name, ",".join(sorted(k for k, wrong in validate(s).items() if wrong))) for name, s in cases.items()]
+    return spark.createDataFrame(found, "given string, wrong string")
+
+
+def config_defaults(spark, sf_dir):
+    """Settings as they are filled in, of the sink and of the codec."""
+    sink, codec = SinkConfig.from_dict(SETTINGS), CodecConfig.from_dict({"decimal.format": "numeric"})
+    given = {"format": sink.format, "max_bytes": sink.max_bytes, "interval_ms": sink.interval_ms, "connect_timeout_ms": sink.connect_timeout_ms, "max_retries": sink.max_retries, "decimal_format": codec.decimal_format, "schemas_enable": codec.schemas_enable, "schemas_cache_size": codec.schemas_cache_size, "replace_null_with_default": codec.replace_null_with_default, "sink_decimals": row_ops.SINK_CODEC.decimal_format, "sink_replaces": row_ops.SINK_CODEC.replace_null_with_default, "version": __version__}
+    return spark.createDataFrame([(k, str(v).lower()) for k, v in given.items()], "setting string, value string")
+
+
+#: Of what must fail: a function of (one column of nation's keys as text) or of nothing, at plan time or in a row.
+_MAP, _PAIRS = Schema("map", keys=Schema("string"), values=Schema("int32")), Schema("map", keys=Schema("int32"), values=Schema("int32"))
+_WRONG_TEXTS = {
+    "malformed": ("{", Schema("int32")), "required_null": ("null", Schema("int32")), "required_absent": ("{}", Schema("struct", fields=(("a", Schema("int32")),))), "bad_base64": ('"*"', Schema("bytes")), "map_from_array": ("[1]", _MAP), "pairs_from_object": ('{"1":2}', _PAIRS), "pair_of_three": ("[[1,2,3]]", _PAIRS), "pair_no_array": ("[1]", _PAIRS), "struct_from_number": ("1", Schema("struct", fields=())),
+    "decimal_from_boolean": ("true", Schema("bytes", name=DECIMAL, parameters={"scale": "2"})), "date_from_text": ('"x"', Schema("int32", name=DATE)), "time_from_fraction": ("1.5", Schema("int32", name=TIME)), "timestamp_from_fraction": ("1.5", Schema("int64", name=TIMESTAMP)), "fine": ("1", Schema("int32")),
+}
+_WRONG_SCHEMAS = {"no_type": "{}", "unknown_type": '{"type":"x"}', "array_no_items": '{"type":"array"}', "map_no_keys": '{"type":"map","values":{"type":"int8"}}', "struct_no_fields": '{"type":"struct"}', "bad_field_name": '{"type":"struct","fields":[{"type":"int8"}]}', "number_parameter": '{"type":"int8","parameters":{"a":1}}', "fine_schema": '{"type":"int8"}'}
+
+
+def codec_errors(spark, sf_dir):
+    """What must fail does, in the rows of a table or when the plan is built, and what is right does not."""
+    rows = _table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name"), F.when(F.col("n_nationkey") != 3, F.col("n_nationkey")).alias("gap"))
+    envelope = lambda text: json_decode.from_bytes(F.lit(text).cast("binary"), Schema("int32", True))
+    required = Schema("struct", fields=(("gap", Schema("int64")),))
+    tries = {name: lambda t=t, s=s: rows.select(json_decode.decode(F.concat(F.lit(t), F.substring("n_name", 1, 0)), s).alias("x")).collect() for name, (t, s) in _WRONG_TEXTS.items()}
+    tries |= {name: lambda t=t: Schema.from_json_schema(t) for name, t in _WRONG_SCHEMAS.items()}
+    tries |= {
+        "encode_required": lambda: rows.select(json_encode.encode(F.struct("gap"), required)).collect(),
+        "envelope_more": lambda: rows.select(envelope('{"schema":null,"payload":1,"x":1}')).collect(),
+        "envelope_less": lambda: rows.select(envelope('{"payload":1}')).collect(),
+        "fine_envelope": lambda: rows.select(envelope('{"schema":null,"payload":1}')).collect(),
+        "decimal_class": lambda: rows.select(json_encode.encode(F.col("n_name"), Schema("bytes", name=DECIMAL, parameters={"scale": "2"}), CodecConfig())).collect(),
+        "struct_class": lambda: rows.select(json_encode.encode(F.col("n_name"), required)).collect(),
+        "csv_number": lambda: row_ops.build_rows(rows.select(F.col("n_nationkey").alias("value")), "csv"),
+        "unknown_format": lambda: SinkConfig.from_dict({**SETTINGS, "sink.properties.format": "avro"}),
+        "bad_table_name": lambda: parse_topic_map("a:t"),
+        "topic_twice": lambda: parse_topic_map("a:t1,a:t2"),
+        "delimiter_empty": lambda: parse_delimiter(r"\x"),
+        "delimiter_odd": lambda: parse_delimiter(r"\x0"),
+        "delimiter_digit": lambda: parse_delimiter(r"\xZZ"),
+        "fine_delimiter": lambda: parse_delimiter(r"\x0A"),
+    }
+
+    def fails(step) -> bool:
+        try:
+            step()
+        except Exception:  # noqa: BLE001  that it fails is what is asked
+            return True
+        return False
+
+    return spark.createDataFrame([(name, fails(step)) for name, step in tries.items()], "given string, fails boolean")
 
 
 def route_lookup_null(spark, sf_dir):
@@ -298,6 +626,12 @@ def _tag_sql(ops: str) -> str:
 _RECORD = "CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR)"
 _ROUTE = "CASE event_type WHEN 'click' THEN 't_click' WHEN 'view' THEN 't_view' ELSE event_type END"
 
+def _unscaled_hex(n: str) -> str:
+    """Hex of the shortest two's complement of a HUGEINT below 2 ** 63 in size."""
+    text = f"printf('%016X', CAST({n} AS BIGINT))"
+    return f"regexp_replace({text}, CASE WHEN {n} < 0 THEN '^(FF)+([89A-F])' ELSE '^(00)+([0-7])' END, '\\2')"
+
+
 SQL: dict[str, str] = {
     "json_encode_orders": "SELECT o_orderkey, CAST(to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus, 'o_orderpriority': o_orderpriority}) AS VARCHAR) AS j FROM orders",
     "json_encode_documents": "SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source}) AS VARCHAR) AS j FROM documents",
@@ -343,8 +677,47 @@ SQL: dict[str, str] = {
     "row_bytes_per_table": f"SELECT {_ROUTE} AS tbl, count(*) AS n_rows, CAST(sum(strlen({_RECORD})) AS BIGINT) AS n_bytes FROM events WHERE event_id % 10 <> 0 GROUP BY 1",
     "delimiter_parse": r"SELECT * FROM (VALUES ('', chr(10)), (',', ','), ('\x0A', chr(10)), ('\X0102', chr(1) || chr(2)), ('||', '||'), ('\x7c', '|')) AS t(given, parsed)",
     "stream_ingest_events": f"SELECT {_ROUTE} AS tbl, {_RECORD} AS row FROM events WHERE event_id % 10 <> 0",
+    "cdc_unnamed_untouched": f"WITH {_ENVELOPES} SELECT o_orderkey, op, 'id,name' AS before_fields, 'id,name' AS after_fields FROM e",
+    "decode_tombstone": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS BIGINT) END AS v, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS BIGINT) END AS w FROM orders",
+    "decode_null_rules": "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 2 THEN o_custkey ELSE 7 END AS INT) AS d, CASE WHEN o_orderkey % 3 = 2 THEN 'x' END AS o, CAST(CASE WHEN o_orderkey % 3 = 2 THEN o_custkey END AS INT) AS d_off FROM orders",
+    "decode_bytes": "SELECT c_custkey, hex(encode(c_name)) AS h FROM customer",
+    "decode_array": "SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS a0, CAST(NULL AS BIGINT) AS a1, CAST(o_orderkey AS BIGINT) AS a2, CAST(o_custkey AS BIGINT) AS o0, CAST(2 AS BIGINT) AS o1, CAST(0 AS INT) AS n FROM orders",
+    "decode_map_text": "SELECT n_nationkey, CAST(n_regionkey AS INT) AS v, CAST(NULL AS INT) AS z, CAST(2 AS INT) AS n FROM nation",
+    "decode_map_pairs": "SELECT n_nationkey, 'last' AS v, n_name AS other, CAST(2 AS INT) AS n FROM nation",
+    "decode_time_types": f"SELECT event_id, CAST({_MS} AS INT) AS t, epoch_us(ts) // 1000 AS ms, CAST(epoch_us(ts) // 86400000000 AS INT) AS day FROM events",
+    "decode_decimals": "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS n, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS b FROM orders",
+    "decode_floats": "SELECT n_nationkey, n_nationkey + 0.5::DOUBLE AS f, n_nationkey + 0.25::DOUBLE AS d, 0::DOUBLE AS s FROM nation",
+    "json_decode_beyond_int64": "SELECT o_orderkey, CAST(o_orderkey AS INT) AS a, CAST(o_orderkey AS BIGINT) AS b, CAST(-9223372036854775808::HUGEINT + o_orderkey AS BIGINT) AS c, CAST(o_orderkey AS INT) AS d FROM orders",
+    "json_duplicate_keys": "SELECT n_nationkey, CAST(n_nationkey AS INT) AS k, '{\"k\":' || n_nationkey || ',\"x\":0}' AS j FROM nation",
+    "json_encode_defaults": "SELECT o_orderkey, '{\"s\":\"' || coalesce(nullif(o_orderstatus, 'O'), 'none') || '\",\"n\":5}' AS j, '{\"s\":' || coalesce('\"' || nullif(o_orderstatus, 'O') || '\"', 'null') || ',\"n\":null}' AS off FROM orders",
+    "json_time_millis": f"SELECT event_id, '{{\"t\":' || {_MS} || ',\"user_id\":' || user_id || '}}' AS j FROM events",
+    "json_floats": """SELECT n_nationkey, '{"d":' || x || ',"f":' || x || '}' AS j FROM (SELECT n_nationkey,
+        CASE n_nationkey % 4 WHEN 0 THEN '"NaN"' WHEN 1 THEN '"Infinity"' WHEN 2 THEN '"-Infinity"' ELSE n_nationkey || '.25' END AS x FROM nation)""",
+    "json_numbers": """SELECT n_nationkey, '{"tinyint":' || n_nationkey || ',"smallint":' || n_nationkey || ',"int":' || n_nationkey || ',"bigint":' || n_nationkey || ',"even":' || CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END || '}' AS j FROM nation""",
+    "json_decimal_bytes": f"""SELECT o_orderkey, {_unscaled_hex("CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) * 100000000::HUGEINT")} AS p, {_unscaled_hex("CAST(o_orderkey AS HUGEINT)")} AS s, {_unscaled_hex("-CAST(o_orderkey AS HUGEINT)")} AS m FROM orders""",
+    "json_null_bytes": "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN '{\"schema\":null,\"payload\":' || CAST(to_json(n_name) AS VARCHAR) || '}' END AS j, CASE WHEN n_nationkey % 2 = 0 THEN CAST(to_json(n_name) AS VARCHAR) END AS plain FROM nation",
+    "header_round_trip": "SELECT n_nationkey, '{\"schema\":{\"type\":\"int32\",\"optional\":false},\"payload\":' || n_nationkey || '}' AS j, 'key' AS k0, CAST(n_nationkey AS INT) AS v0, 'region' AS k1, CAST(n_regionkey AS INT) AS v1 FROM nation",
+    "schema_translation": """SELECT table_name AS tbl, column_name AS field,
+        CASE WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type IN ('INTEGER', 'DATE') THEN 'int32' WHEN data_type = 'BIGINT' OR data_type LIKE 'TIMESTAMP%' THEN 'int64' WHEN data_type LIKE 'DECIMAL%' THEN 'bytes' END AS type,
+        CASE WHEN data_type = 'DATE' THEN 'org.apache.kafka.connect.data.Date' WHEN data_type LIKE 'TIMESTAMP%' THEN 'org.apache.kafka.connect.data.Timestamp' WHEN data_type LIKE 'DECIMAL%' THEN 'org.apache.kafka.connect.data.Decimal' END AS name, true AS optional, true AS equal
+        FROM information_schema.columns WHERE table_name IN ('customer', 'documents', 'events', 'lineitem', 'nation', 'orders', 'part', 'region', 'supplier')""",
+    "schema_defaults": "SELECT r_regionkey, false AS optional_0, false AS optional_1, true AS optional_2, true AS optional_3, '5' AS default_2, 'x' AS default_3 FROM region",
+    "route_malformed_map": f"SELECT event_id, event_type AS bad, {_ROUTE} AS tail, CASE event_type WHEN 'click' THEN 't_click' ELSE event_type END AS blank FROM events",
+    "delimiter_rows": "SELECT c_custkey || ',' || c_name AS row, chr(1) || chr(65508) || chr(2) AS delimiter FROM customer",
+    "config_rules": """SELECT * FROM (VALUES ('good', ''), ('none', 'store.database.name,store.http.url,store.password,store.username'), ('empty_user', 'store.username'), ('no_password', 'store.password'), ('small_flush', 'bufferflush.maxbytes'), ('large_flush', 'bufferflush.maxbytes'),
+        ('slow', 'connect.timeoutms'), ('text', 'bufferflush.intervalms'), ('endless', ''), ('below', 'sink.maxretries'), ('unknown', ''), ('vendor', '')) AS t(given, wrong)""",
+    "config_defaults": """SELECT * FROM (VALUES ('format', 'json'), ('max_bytes', '67108864'), ('interval_ms', '1000'), ('connect_timeout_ms', '100'), ('max_retries', '3'), ('decimal_format', 'numeric'), ('schemas_enable', 'true'), ('schemas_cache_size', '1000'),
+        ('replace_null_with_default', 'true'), ('sink_decimals', 'numeric'), ('sink_replaces', 'false'), ('version', '1.0.3')) AS t(setting, value)""",
+    "codec_errors": "SELECT given, given NOT LIKE 'fine%' AS fails FROM (SELECT unnest(string_split('" + " ".join([*_WRONG_TEXTS, *_WRONG_SCHEMAS, *"encode_required envelope_more envelope_less fine_envelope decimal_class struct_class csv_number unknown_format bad_table_name topic_twice delimiter_empty delimiter_odd delimiter_digit fine_delimiter".split()]) + "', ' ')) AS given)",
+    "delivery_replay": f"SELECT {_ROUTE} AS tbl, count(*) AS n, count(DISTINCT event_id) AS n_distinct, CAST(4 AS INT) AS tries FROM events WHERE event_id % 10 <> 0 GROUP BY 1",
+    "delivery_retry_limit": "SELECT CAST(0 AS BIGINT) AS n, CAST(2 AS INT) AS tries, true AS refused",
+    "delivery_bad_record": "SELECT CAST(0 AS BIGINT) AS n, CAST(1 AS INT) AS failures, true AS refused",
+    "delivery_two_phase": f"""SELECT {_ROUTE} AS tbl, count(*) AS n, CAST(0 AS BIGINT) AS staged, total AS committed, total AS staged_more, total AS aborted, total AS committed_nothing, total AS staged_again, total AS committed_again
+        FROM events, (SELECT count(*) AS total FROM events WHERE event_id % 10 <> 0 AND event_id % 2 = 1) WHERE event_id % 10 <> 0 AND event_id % 2 = 1 GROUP BY ALL""",
+    "delivery_table_names": "SELECT '00' || n_regionkey AS tbl, n_name AS row FROM nation",
+    "delivery_load_properties": "SELECT CAST(0 AS BIGINT) AS batch, 'db' AS database, 'a:1| b:2' AS endpoints, * FROM (VALUES ('strip_outer', 'Yes'), ('columns', 'c1,c2'), ('format', 'json')) AS t(key, value)",
     "flagship": f"""WITH {_ENVELOPES} SELECT o_orderkey, CASE WHEN op IN ('c', 'u') THEN 'orders' ELSE 'orders_' || op END AS tbl,
-        '{{"id":' || o_orderkey || ',"name":' || CAST(to_json(o_orderpriority) AS VARCHAR) || ',"__op":' || CASE op WHEN 'r' THEN 'null' WHEN 'd' THEN '1' ELSE '0' END
+        '{{"id":' || o_orderkey || ',"name":' || CAST(to_json(o_orderpriority) AS VARCHAR) || CASE op WHEN 'r' THEN '' WHEN 'd' THEN ',"__op":1' ELSE ',"__op":0' END
         || ',"__deleted":"' || CASE op WHEN 'd' THEN 'true' ELSE 'false' END || '","at":"' || {_clock("(epoch_us(o_orderdate) // 1000 % 86400000)", False)} || '"}}' AS row FROM e""",
 }
 

@@ -53,7 +53,7 @@ class Schema:
         try:
             return int((self.parameters or {})["scale"])
         except KeyError:
-            raise DataError("Invalid Decimal schema: scale parameter not found.") from None
+            raise DataError("A decimal schema needs the parameter scale") from None
 
     # JSON schema
 
@@ -67,7 +67,7 @@ class Schema:
         elif self.type == "struct":
             out["fields"] = [{**s.to_json_schema(), "field": n} for n, s in self.fields]
         elif self.type not in PRIMITIVES:
-            raise DataError(f"Couldn't translate unsupported schema type {self.type}.")
+            raise DataError(f"No JSON schema for the type {self.type}")
         out["optional"] = self.optional
         for key in ("name", "version", "doc", "parameters", "default"):
             if (value := getattr(self, key)) is not None:
@@ -82,28 +82,28 @@ class Schema:
             return None
         kind = node.get("type") if isinstance(node, dict) else None
         if not isinstance(kind, str):
-            raise DataError("Schema must contain 'type' field")
+            raise DataError("A schema needs a text under 'type'")
         inner: dict[str, Any] = {}
         if kind == "array":
             if node.get("items") is None:
-                raise DataError("Array schema did not specify the element type")
+                raise DataError("An array schema needs its element type")
             inner["items"] = cls.from_json_schema(node["items"])
         elif kind == "map":
             for key, what in (("keys", "key"), ("values", "value")):
                 if key not in node:
-                    raise DataError(f"Map schema did not specify the {what} type")
+                    raise DataError(f"A map schema needs its {what} type")
                 inner[key] = cls.from_json_schema(node[key])
         elif kind == "struct":
             if not isinstance(node.get("fields"), list):
-                raise DataError("Struct schema's \"fields\" argument is not an array.")
+                raise DataError("The fields of a struct schema are not an array")
             if not all(isinstance(f, dict) and isinstance(f.get("field"), str) for f in node["fields"]):
-                raise DataError("Struct schema's field name not specified properly")
+                raise DataError("A struct schema has a field without a text as field name")
             inner["fields"] = tuple((f["field"], cls.from_json_schema(f)) for f in node["fields"])
         elif kind not in PRIMITIVES:
             raise DataError(f"Unknown schema type: {kind}")
         parameters = node.get("parameters")
         if isinstance(parameters, dict) and not all(isinstance(v, str) for v in parameters.values()):
-            raise DataError("Schema parameters must have string values.")
+            raise DataError("Schema parameters have string values only")
         version = node.get("version")
         return cls(
             kind,
@@ -158,4 +158,4 @@ class Schema:
         for name, own in PRIMITIVES.items():
             if isinstance(kind, type(own)):
                 return cls(name, optional, metadata.get(NAME))
-        raise DataError(f"Couldn't translate unsupported schema type {kind.simpleString()}.")
+        raise DataError(f"No record schema for the type {kind.simpleString()}")

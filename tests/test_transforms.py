@@ -1,6 +1,7 @@
 """Change-capture tags, time strings and unwrapping."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from hypothesis import given
@@ -16,7 +17,7 @@ ENVELOPE = T.StructType([T.StructField("before", STATE), T.StructField("after",
 
 
 def envelopes(spark, *rows):
-    return spark.createDataFrame([(r,) for r in rows], T.StructType([T.StructField("value", ENVELOPE)]))
+    return spark.createDataFrame([(r,) for r in rows], T.StructType([T.StructField("value", ENVELOPE, True, {NAME: "t.Envelope"})]))
 
 
 CASES = [
@@ -31,13 +32,15 @@ def test_tags(spark):
 
 def test_tagged_text_leaves_others_as_they_are(spark):
     df = envelopes(spark, *[c[0] for c in CASES])
-    for (value, before, after), r in zip(CASES, df.select(tr.encode_tagged(F.col("value"), Schema.from_data_type(ENVELOPE)).alias("j")).collect()):
+    for (value, before, after), r in zip(CASES, df.select(tr.encode_tagged(F.col("value"), replace(Schema.from_data_type(ENVELOPE), name="t.Envelope")).alias("j")).collect()):
         j = json.loads(r.j)
         for side, tag, state in (("before", before, value[0]), ("after", after, value[1])):
             assert j[side] == (state and {"id": state[0], "name": state[1], **({} if tag is None else {"__op": tag})})
 
 
 def test_not_an_envelope(spark):
+    unnamed = envelopes(spark, CASES[0][0]).withMetadata("value", {NAME: "t.Value"})
+    assert tr.tag_operations(unnamed) is unnamed
     for df in (spark.range(1).withColumnRenamed("id", "value"), spark.sql("SELECT named_struct('op', 1, 'after', named_struct('a', 1)) AS value"), spark.sql("SELECT named_struct('op', 'c', 'after', named_struct('__op', 1)) AS value")):
         assert tr.tag_operations(df) is df
 
