@@ -6,10 +6,12 @@ How it works
     meet are compared word by word; should two different ones ever share a hash prefix, or a text have over a million
     words, that row sorts the windows themselves.
 
-    A rule's failures are counted by host (combined on the map side). Across hosts an empirical beta prior is fitted to
-    each rule by moments; a host's rate is shrunk to it: (failures + a) / (documents + a + b). A host where a shrunk
-    rate is over ``FLAG_RATE`` is flagged. Verdicts are joined back to documents (hosts with over a thousandth of
-    all rows by broadcast). Of a flagged host only documents that fail no rule at all are kept, so clean ones stay.
+    A rule's failures are counted by host (combined on the map side), and so are documents that fail any rule. Across
+    hosts an empirical beta prior is fitted to each count by moments; a host's rate is shrunk to it: (failures + a) /
+    (documents + a + b). A host is flagged if the shrunk rate of one rule is over ``FLAG_RATE``, or that of any rule over
+    the prior's mean by ``FLAG_SPREAD`` of its standard deviations: where hosts are alike that is none, where they differ
+    the worst. Verdicts are joined back to documents (hosts with over a thousandth of all rows by broadcast). Of a
+    flagged host only documents that fail no rule at all are kept, so clean ones stay.
 
 Rules
     short: under 50 words. repeated: over half the words in repeated windows. symbols: over one symbol to ten words.
@@ -22,13 +24,17 @@ Defined results
 
 from __future__ import annotations
 
+from math import sqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_classes, materialize, words
 
 RULES = ("short", "repeated", "symbols", "lines", "lengths")
-FLAG_RATE = 0.5
+FLAG_RATE, FLAG_SPREAD = 0.5, 2.0
+#: Column of documents that fail any rule.
+ANY = "any_rule"
 #: Strength (a + b) of a prior: no weaker and no stronger than this.
 PRIOR_RANGE = (1.0, 1000.0)
 
@@ -79,11 +85,12 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
         "lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
         "lengths": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 14 * F.col("n_words")),
     }
-    return counted.select("*", *[fails[r].cast("long").alias(r) for r in RULES])
+    return counted.select("*", *[fails[r].cast("long").alias(r) for r in RULES]).withColumn(ANY, F.greatest(*RULES))
 
 
 def host_verdicts(rows: DataFrame, rules=RULES, flag_rate: float = FLAG_RATE) -> DataFrame:
-    """host, documents, a shrunk rate for each rule (rate_<rule>) and flagged, from 0/1 columns of documents."""
+    """host, documents, a shrunk rate for each rule and for any (rate_<rule>), and flagged, from 0/1 columns of documents."""
+    single, rules = rules, (*rules, ANY)
     hosts = materialize(rows.groupBy("host").agg(F.count(F.lit(1)).alias("documents"), *[F.sum(r).alias(r) for r in rules]), "hosts")
     total = F.sum("documents").cast("double")
     means = hosts.agg(total.alias("n"), F.count(F.lit(1)).alias("hosts"), *[(F.sum(r) / total).alias(r) for r in rules]).first()
@@ -91,7 +98,7 @@ def host_verdicts(rows: DataFrame, rules=RULES, flag_rate: float = FLAG_RATE) ->
         total.alias("n"),
         *[(F.sum(F.col("documents") * F.pow(F.col(r) / F.col("documents") - F.lit(means[r]), 2)) / total).alias(r) for r in rules],
     ).first()
-    rates = []
+    rates, limit = [], 1.0
     for r in rules:
         mean = means[r] or 0.0
         # between-host variance: what the rates vary by, less what chance alone gives
@@ -99,8 +106,9 @@ def host_verdicts(rows: DataFrame, rules=RULES, flag_rate: float = FLAG_RATE) ->
         between = max((spread[r] or 0.0) - chance, 0.0)
         strength = PRIOR_RANGE[1] if between <= 0 else min(PRIOR_RANGE[1], max(PRIOR_RANGE[0], mean * (1 - mean) / between - 1))
         rates.append(((F.col(r) + mean * strength) / (F.col("documents") + strength)).alias(f"rate_{r}"))
+        limit = mean + FLAG_SPREAD * sqrt(mean * (1 - mean) / (strength + 1))  # the last one is that of any rule
     shrunk = hosts.select("host", "documents", *rates)
-    return shrunk.withColumn("flagged", F.greatest(*[F.col(f"rate_{r}") for r in rules]) > flag_rate)
+    return shrunk.withColumn("flagged", (F.greatest(*[F.col(f"rate_{r}") for r in single]) > flag_rate) | (F.col(f"rate_{ANY}") > limit))
 
 
 def judge(docs: DataFrame, flag_rate: float = FLAG_RATE, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -110,5 +118,4 @@ def judge(docs: DataFrame, flag_rate: float = FLAG_RATE, id_col: str = "doc_id",
     total = hosts.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
     judged = join_classes(rows, hosts, ["host"], "documents", total)
     judged = judged.withColumn("base_failed", (F.col("short") + F.col("repeated")) > 0)
-    any_rule = sum((F.col(r) for r in RULES), F.lit(0)) > 0
-    return judged.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_flagged") & any_rule))
+    return judged.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_flagged") & (F.col(ANY) > 0)))

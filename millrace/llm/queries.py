@@ -80,12 +80,14 @@ r AS (
   SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeated, 10 * n_symbols > n_words AS symbols,
     100 * n_dup_lines > 30 * n_lines AS lines, word_chars < 2 * n_words OR word_chars > 14 * n_words AS lengths FROM f),
 u AS (SELECT source, rule, count(*) AS n, sum(hit::INT) AS k FROM (
-    SELECT source, unnest(['short', 'repeated', 'symbols', 'lines', 'lengths']) AS rule, unnest([short, repeated, symbols, lines, lengths]) AS hit FROM r) GROUP BY ALL),
+    SELECT source, unnest(['short', 'repeated', 'symbols', 'lines', 'lengths', 'any']) AS rule,
+      unnest([short, repeated, symbols, lines, lengths, short OR repeated OR symbols OR lines OR lengths]) AS hit FROM r) GROUP BY ALL),
 m AS (SELECT rule, sum(k)::DOUBLE / sum(n) AS mu, count(*) AS hosts, sum(n) AS total FROM u GROUP BY rule),
 v AS (SELECT m.rule, mu, greatest(sum(n * (k::DOUBLE / n - mu) ** 2) / any_value(total) - mu * (1 - mu) * any_value(hosts) / any_value(total), 0) AS between_hosts
   FROM u JOIN m ON u.rule = m.rule GROUP BY m.rule, mu),
 s AS (SELECT rule, mu, CASE WHEN between_hosts <= 0 THEN 1000 ELSE least(1000, greatest(1, mu * (1 - mu) / between_hosts - 1)) END AS strength FROM v),
-h AS (SELECT source, max((k + mu * strength) / (n + strength)) > 0.5 AS flagged FROM u JOIN s ON u.rule = s.rule GROUP BY source)
+h AS (SELECT source, bool_or((k + mu * strength) / (n + strength) > CASE u.rule WHEN 'any' THEN mu + 2 * sqrt(mu * (1 - mu) / (strength + 1)) ELSE 0.5 END) AS flagged
+  FROM u JOIN s ON u.rule = s.rule GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
   NOT (short OR repeated) AND NOT (flagged AND (short OR repeated OR symbols OR lines OR lengths)) AS kept
 FROM r JOIN h ON r.source IS NOT DISTINCT FROM h.source
