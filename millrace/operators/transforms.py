@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.decimals import let
 from ..functions.json_decode import wrap
 from ..functions.json_encode import encode
 from ..plans.schema import NAME, SCHEMA, TIME, Schema
@@ -100,8 +101,15 @@ def format_millis(millis: Column, pattern: str = "HH:mm:ss") -> Column:
     """
     x = millis.cast("bigint")
     a = F.abs(x)
-    parts = [F.when(x < 0, F.lit("-")).otherwise(F.lit("")), F.call_function("div", a, F.lit(3_600_000)), F.call_function("div", a, F.lit(60_000)) % 60, F.call_function("div", a, F.lit(1000)) % 60]
-    spelled = F.format_string("%s%02d:%02d:%02d.%03d", *parts, a % 1000) if pattern == "HH:mm:ss.SSS" else F.format_string("%s%02d:%02d:%02d", *parts)
+
+    def two(number: Column) -> Column:
+        return F.lpad(number.cast("string"), 2, "0")
+
+    hours, minutes, seconds = F.call_function("div", a, F.lit(3_600_000)), F.call_function("div", a, F.lit(60_000)) % 60, F.call_function("div", a, F.lit(1000)) % 60
+    parts = [F.when(x < 0, F.lit("-")).otherwise(F.lit("")), F.when(hours < 10, F.lit("0")).otherwise(F.lit("")), hours.cast("string"), F.lit(":"), two(minutes), F.lit(":"), two(seconds)]
+    if pattern == "HH:mm:ss.SSS":
+        parts += [F.lit("."), F.lpad((a % 1000).cast("string"), 3, "0")]
+    spelled = F.concat(*parts)
     return F.when(millis.isNotNull(), spelled)
 
 
@@ -142,7 +150,9 @@ def times_to_text(df: DataFrame, column: str | None = "value", fields: str | lis
         return df
     if column is None:
         return df.withColumns({f.name: _time_text(F.col(f"`{f.name}`"), f.dataType, pattern) for f in chosen})
-    return with_fields(df, column, {f.name: _time_text(F.col(column).getField(f.name), f.dataType, pattern) for f in chosen})
+    # bound, so that the texts are a step of their own: with all steps in one, the generated method is too long to compile
+    made = let(F.col(column), lambda v: _rebuilt(v, kind, {f.name: _time_text(v.getField(f.name), f.dataType, pattern) for f in chosen}))
+    return df.withColumn(column, made).withMetadata(column, df.schema[column].metadata)
 
 
 def unwrap(df: DataFrame, column: str = "value") -> DataFrame:
