@@ -7,6 +7,7 @@ place, :func:`release` removes all that are left, once results are written.
 from __future__ import annotations
 
 import gc
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -27,7 +28,7 @@ FILTER_BITS, FILTER_MOST = 16, 1 << 28
 
 #: Bytes of a batch that goes to a Python worker; Spark's own limit is four times that.
 ARROW_BYTES = 16 << 20
-_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+_ARROW, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864", "67108864b", "64MB")
 
 #: Scratch folders of applications that have none set.
 _own: dict[str, str] = {}
@@ -223,9 +224,17 @@ def keep_decided(docs: DataFrame, id_col: str, decided: DataFrame) -> DataFrame:
     return stay.unionByName(once.select("row.*"))
 
 
+def fresh() -> None:
+    """In a Python worker that an earlier stage has used: drop the word caches that it holds."""
+    tokens = sys.modules.get(f"{__package__}.tokens")
+    if tokens is not None:
+        tokens.forget()
+
+
 def text_slices(batch, column: int, chars: int):
     """(first row, texts) of an Arrow batch, of about ``chars`` bytes or one text each: no more are Python objects at once."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -233,6 +242,7 @@ def text_slices(batch, column: int, chars: int):
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(ends, chars + (ends[at - 1] if at else 0), side="right")))
         yield at, batch.column(column).slice(at, to - at).to_pylist()
+        pa.default_memory_pool().release_unused()
         at = to
 
 
@@ -240,7 +250,7 @@ def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once a context; Arrow batches of the session hold ``ARROW_BYTES``
     at most unless it has a limit of its own."""
     context = spark.sparkContext
-    if spark.conf.get(_ARROW, "") in ("", "67108864", "64MB", "64m"):
+    if spark.conf.get(_ARROW) in _ARROW_DEFAULT:
         spark.conf.set(_ARROW, str(ARROW_BYTES))
     if getattr(context, "_millrace_shipped", False):
         return

@@ -8,13 +8,16 @@ How it works
     the running total passes the budget.
 
     A source that holds a third of all rows is never in one task: the shuffled order is cut into blocks of about
-    ``block_rows``, each summed on its own, and blocks get their start from the (small) table of block totals. The cut is
-    found in the one range partition that holds it and then applied to every row by comparison.
+    ``block_rows``, each summed on its own, and blocks get their start from the (small) table of block totals, which is
+    summed over blocks of blocks in turn. The cut is found in the one range partition that holds it. Within a source
+    copies are taken in order, so a source has one cut, which decides each of its documents where it lies: no text
+    moves.
 
 Defined results
     null text: size 0. null source: a source of its own, last. Documents of size 0 take 0. Repeated doc_ids: rows of
     their own. Ties in the order are broken by doc_id and size. A source without words has target 0. Empty table: no
-    rows. Extra columns: ignored here, kept by :func:`mix_documents`. Runs with the same seed agree.
+    rows. Extra columns: ignored here, kept by :func:`mix_documents`, whatever their names and types. Runs with the same
+    seed agree.
 """
 
 from __future__ import annotations
@@ -22,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, parallelism, words
+from .common import join_classes, materialize, parallelism, quoted, row_mark, whole_row, words
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 #: The shuffled order is a number below 2 ** ORDER_BITS.
 ORDER_BITS = 60
+#: Blocks that are summed in one task, and sources that are broadcast (some 100 bytes each); more are joined.
+BLOCKS_SUMMED, SOURCES_SENT = 4_096, 100_000
 
 
 def shuffled(doc_id: Column, seed: int) -> Column:
@@ -72,31 +77,39 @@ def _place(copy: int | Column) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 42, block_rows: int = 2_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row a document: doc_id, source, size, source_size, target, taken (and uid, a row number)."""
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        F.size(words(F.col(text_col))).cast("long").alias("size"),
-        shuffled(F.col(id_col), seed).alias("order"),
+        quoted(id_col).alias("doc_id"),
+        quoted(source_col).alias("source"),
+        F.size(words(quoted(text_col))).cast("long").alias("size"),
+        shuffled(quoted(id_col), seed).alias("order"),
         F.monotonically_increasing_id().alias("uid"),
     )
     return mix_rows(materialize(rows, "sizes"), weights, max_repeat, block_rows)
 
 
-def mix_rows(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_rows: int = 2_000) -> DataFrame:
-    """The mix over rows of doc_id, source, size, order and uid, which must be a stored table."""
+def with_sources(rows: DataFrame, sources: DataFrame, total: int) -> DataFrame:
+    """``rows`` (with own_source) joined to their sources (a stored table: source, documents and others)."""
+    if sources.count() <= SOURCES_SENT:
+        return rows.join(F.broadcast(sources), F.col("own_source").eqNullSafe(F.col("source")), "inner").drop("own_source")
+    key = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
+    named = rows.withColumn("key", F.struct(F.col("own_source").isNull().alias("none"), F.coalesce("own_source", F.lit("")).alias("name")))
+    return join_classes(named, sources.withColumn("key", key), ["key"], "documents", total).drop("key", "own_source")
+
+
+def queue(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_rows: int = 2_000):
+    """(queued, cut): rows (a stored table of doc_id, source, size, order, uid) with rank, source_size, target and
+    ``reached``, the words of their source up to their own end; and the first place that the mix does not take."""
     spark = rows.sparkSession
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents"))
     aims = materialize(targets(sources, weights, max_repeat), "targets")
+    budget, total = aims.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("documents"), F.lit(0))).first()
     # every source's order in blocks, so that the largest source is dealt over as many tasks as it needs
     blocks = F.ceil(F.col("documents") / block_rows).cast("long")
-    known = rows.withColumnRenamed("source", "__source").join(F.broadcast(aims) if aims.count() <= 10_000 else aims, F.col("__source").eqNullSafe(F.col("source")), "inner").drop("__source")
+    known = with_sources(rows.withColumnRenamed("source", "own_source"), aims, total)
     known = known.withColumn("block", F.floor(F.col("order") / F.lit(float(2**ORDER_BITS)) * blocks))
     in_block = Window.partitionBy("rank", "block").orderBy("order", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
     summed = known.withColumn("__in", F.sum("size").over(in_block))
-    starts = known.groupBy("rank", "block").agg(F.sum("size").alias("__sum"))
-    starts = starts.withColumn("__before", F.coalesce(F.sum("__sum").over(Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__sum")
-    queued = summed.join(starts, ["rank", "block"]).withColumn("reached", F.col("__before") + F.col("__in"))
+    queued = summed.join(_starts(known), ["rank", "block"]).withColumn("reached", F.col("__before") + F.col("__in"))
     queued = materialize(queued.select("doc_id", "source", "size", "source_size", "target", "rank", "order", "uid", "reached"), "queued")
-    budget = queued.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # globally range-sorted copies; a size of 0 takes nothing wherever it stands
     copies = queued.filter("size > 0").withColumn("copy", F.explode(F.array(*[F.lit(i) for i in range(max_repeat)])))
     copies = copies.select(_place(F.col("copy")).alias("place"), "size")
@@ -109,37 +122,61 @@ def mix_rows(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, blo
             cut = ranged.filter(F.col("part") == part).withColumn("__run", running + passed).filter(F.col("__run") > budget).agg(F.min("place")).first()[0]
             break
         passed += held
-    if cut is None:
-        taken = F.col("size") * max_repeat
-    else:
-        first_out = F.struct(F.lit(cut["v"]).alias("v"), F.lit(cut["rank"]).alias("rank"), F.lit(cut["copy"]).alias("copy"), F.lit(cut["order"]).alias("order"), F.lit(cut["doc"]).alias("doc"), F.lit(cut["uid"]).alias("uid"))
-        taken = F.col("size") * sum((F.when(_place(i) < first_out, 1).otherwise(0) for i in range(max_repeat)), F.lit(0))
-    taken = F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("long")
+    return queued, cut
+
+
+def _starts(known: DataFrame) -> DataFrame:
+    """rank, block and the words of the source before the block. Blocks are summed in groups, then groups."""
+    def before(*keys):
+        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    sums = known.groupBy("rank", "block").agg(F.sum("size").alias("__sum")).withColumn("__group", F.floor(F.col("block") / BLOCKS_SUMMED))
+    groups = sums.groupBy("rank", "__group").agg(F.sum("__sum").alias("__all"))
+    groups = groups.select("rank", "__group", F.coalesce(F.sum("__all").over(before("rank", "__group")), F.lit(0)).alias("__base"))
+    inside = sums.withColumn("__inside", F.coalesce(F.sum("__sum").over(before("rank", "__group", "block")), F.lit(0)))
+    return inside.join(groups, ["rank", "__group"]).select("rank", "block", (F.col("__base") + F.col("__inside")).alias("__before"))
+
+
+def _before(cut, copy: int) -> Column:
+    """Is the place of a row's copy before the cut?"""
+    first_out = F.struct(*[F.lit(cut[n]).alias(n) for n in ("v", "rank", "copy", "order", "doc", "uid")])
+    return _place(copy) < first_out
+
+
+def mix_rows(rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_rows: int = 2_000) -> DataFrame:
+    """The mix over rows of doc_id, source, size, order and uid, which must be a stored table."""
+    queued, cut = queue(rows, weights, max_repeat, block_rows)
+    times = F.lit(max_repeat) if cut is None else sum((F.when(_before(cut, i), 1).otherwise(0) for i in range(max_repeat)), F.lit(0))
+    taken = F.when(F.col("size") > 0, F.col("size") * times).otherwise(F.lit(0)).cast("long")
     return queued.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "uid")
 
 
+def _in_source(copy: int | Column, size: Column) -> Column:
+    """Where a copy stands in its source's own order."""
+    copy = F.lit(copy) if isinstance(copy, int) else copy
+    return F.struct(copy.alias("copy"), F.col("order"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), size.alias("size"), F.col("uid"))
+
+
 def mix_documents(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as it is taken, all columns kept.
 
-    Rows of size 0 add nothing to any total and go. ``docs`` must be a stored table (rows are told apart by a hash of
-    the whole row; equal rows are counted and taken together).
+    Rows of size 0 add nothing to any total and go. Rows are told apart by a hash of the whole row; rows that are equal
+    throughout are taken equally often.
     """
-    columns = docs.columns
-    mark = F.xxhash64(*[F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})])
-    spelled = docs.select("*", mark.alias("__mark"), F.col(id_col).alias("__id"))
-    rows = spelled.select(
-        F.col("__id").alias("doc_id"), F.col(source_col).alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"),
-        shuffled(F.col("__id"), seed).alias("order"), F.monotonically_increasing_id().alias("uid"), "__mark",
+    row = docs.select(
+        whole_row(docs).alias("row"), quoted(id_col).cast("long").alias("doc_id"), quoted(source_col).cast("string").alias("own_source"),
+        F.size(words(quoted(text_col))).cast("long").alias("size"), shuffled(quoted(id_col), seed).alias("order"), row_mark(docs).alias("uid"),
     )
-    rows = materialize(rows, "sizes")
-    taken = mix_rows(rows.drop("__mark"), weights, max_repeat).filter("taken > 0").select("uid", (F.col("taken") / F.col("size")).cast("int").alias("__times"))
-    times = rows.select("uid", "doc_id", "__mark").join(taken, "uid").groupBy("doc_id", "__mark").agg(F.sum("__times").alias("__times"), F.count(F.lit(1)).alias("__same"))
-    times = times.withColumnsRenamed({"doc_id": "__id2", "__mark": "__mark2"})
-    times = materialize(times, "times")
-    joined = spelled.join(times, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__mark") == F.col("__mark2")), "inner")
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
-    found = joined.filter("__same = 1").select("__times", row)
-    if times.filter("__same > 1").take(1):
-        equal = joined.filter("__same > 1").groupBy("__id", "__mark").agg(F.max("__times").cast("long").alias("__times"), F.min(row).alias("__row"))
-        found = found.unionByName(equal.select("__times", "__row"))
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select("__row.*")
+    rows = materialize(row.select("doc_id", F.col("own_source").alias("source"), "size", "order", "uid"), "sizes")
+    queued, cut = queue(rows, weights, max_repeat)
+    sources = queued.groupBy("source", "rank").agg(F.count(F.lit(1)).alias("documents"))
+    if cut is None:
+        sources = sources.withColumn("cut", F.lit(None).cast("struct<copy:int,order:long,doc:long,size:long,uid:long>"))
+    else:
+        copies = queued.filter("size > 0").withColumn("out", F.coalesce(*[F.when(~_before(cut, i), i) for i in range(max_repeat)]))
+        cuts = copies.filter("out IS NOT NULL").groupBy("rank").agg(F.min(_in_source(F.col("out"), F.col("size"))).alias("cut"))
+        sources = sources.join(cuts, "rank", "left")
+    sources = materialize(sources.select("source", "documents", "cut"), "cuts")
+    taken = with_sources(row, sources, sources.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]).filter("size > 0")
+    times = sum((F.when(F.col("cut").isNull() | (_in_source(i, F.col("size")) < F.col("cut")), 1).otherwise(0) for i in range(max_repeat)), F.lit(0))
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
