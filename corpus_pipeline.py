@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import exact_dedup, mixing, packing, quality, simhash
-from millrace.llm.common import documents, scratch_path
+from millrace.llm.common import documents, release, scratch_mark, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``. Once a stage's result is written, what it and earlier ones had stored goes."""
+    docs, since = documents(spark, sf_dir), scratch_mark(spark)
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
+        release(spark, since, keep=(path,))
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
