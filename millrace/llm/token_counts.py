@@ -26,8 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
-from .tokens import WordCache, fold_early, in_batches, library, shown_bytes, tokenizer_path, word_end_pieces
+from .common import quoted, ship, text_slices
+from .tokens import SLICE_BYTES, WordCache, folded_early, library, shown_bytes, tokenizer_path, word_end_pieces
 
 #: Words of ASCII and Latin-1 letters, which normal form C leaves alone and whose lower case is one character each.
 _PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
@@ -35,6 +35,8 @@ _PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
 _PLAIN_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-/:-@\[-`{-~]+| ").findall
 
 LIMIT = 2048
+#: Words whose counts one generation of the cache holds; there are two.
+CACHE_WORDS = 200_000
 NONE = np.int64(1) << 60
 
 
@@ -112,7 +114,7 @@ class TokenCounter:
         self.inner = np.array([self.vocab[char_of[b]] for b in range(256)], dtype=np.int64)
         self.final = np.array([self.vocab[char_of[b] + self.suffix] for b in range(256)], dtype=np.int64)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cache = WordCache(self.compute)
+        self.cache = WordCache(self.compute, CACHE_WORDS)
 
     def pretokens(self, text: str) -> list[str]:
         return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
@@ -167,7 +169,7 @@ class TokenCounter:
         if plain:
             lists = pc.ascii_split_whitespace(pa.array([texts[i] for i in plain], pa.large_string()))
             coded = lists.values.dictionary_encode()
-            words = list(map(fold_early, coded.dictionary.to_pylist()))
+            words = folded_early(coded.dictionary).to_pylist()
             known = self.cache.holding(set(words))
             each = np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words))
             ends = np.r_[0, np.cumsum(each[coded.indices.to_numpy()])]
@@ -187,9 +189,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
 
     def count(batches):
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            counts = [n for _, part in in_batches(texts) for n in counter(path).count(part)]
+            counts = [n for _, part in text_slices(batch, 2, SLICE_BYTES) for n in counter(path).count(part)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
+    rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(quoted(text_col)), F.lit(0)).cast("long").alias("n_bytes"), quoted(text_col).alias("text"))
     return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

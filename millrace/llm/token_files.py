@@ -15,8 +15,10 @@ File format
     take one byte. Decoding looks control bytes up in a 256 x 4 table and gathers data bytes with numpy.
 
 How it is written
-    Documents are tokenized once into a stored table of packed ids, ids are counted per partition and summed (as many
-    rows as the vocabulary has), documents are coded and range-partitioned by doc_id, and each task writes its range.
+    Documents are tokenized once into a stored table of packed ids. That table is read once to count ids (as many sums as
+    the vocabulary has) and once to be range-partitioned and sorted by doc_id; each task codes its range block by block
+    and writes it. Every stage runs one Python worker a task, works on a batch's ids as one array, and holds one batch
+    and one block at a time; word caches live in the tokenizing stage only.
 
 Defined results
     null text: the end id alone. null doc_id: first in order. Repeated doc_ids: all kept, in a fixed order. Empty table:
@@ -34,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, parallelism, scratch_path, ship
-from .tokens import END_ID, encoder, in_batches, library, tokenizer_path
+from .common import discard, materialize, parallelism, quoted, scratch_path, ship, text_slices
+from .tokens import END_ID, SLICE_BYTES, encoder, forget, library, tokenizer_path
 
 MAGIC = b"MRT1"
 #: A block closes at so many ids (a longer document has a block of its own).
@@ -45,16 +47,25 @@ BLOCK_IDS = 500_000
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], dtype=np.uint8)
 
 
-def code_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit numbers."""
-    ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    size = size.astype(np.uint8)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    padded[: len(ranks)] = size - 1
-    quads = padded.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]]
+def code_ranks(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """Control and data bytes of unsigned 32-bit numbers; of documents with ``counts`` numbers each, whose control bytes
+    each start anew."""
+    ranks = np.ascontiguousarray(ranks, dtype="<u4")
+    counts = np.array([len(ranks)]) if counts is None else counts
+    size = 1 + (ranks > 0xFF).view(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    quads = -(-counts // 4)
+    spare = np.cumsum(4 * quads - counts) - (4 * quads - counts)  # unused slots before each document
+    slots = np.zeros(4 * int(quads.sum()), dtype=np.uint8)
+    slots[np.arange(len(ranks)) + np.repeat(spare, counts)] = size - 1
+    slots = slots.reshape(-1, 4)
+    control = slots[:, 0] | slots[:, 1] << 2 | slots[:, 2] << 4 | slots[:, 3] << 6
+    at = np.cumsum(size, dtype=np.int64) - size
+    data = np.empty(int(at[-1]) + int(size[-1]) if len(at) else 0, dtype=np.uint8)
+    data[at] = ranks
+    more = np.arange(len(ranks))
+    for k in (1, 2, 3):
+        more = more[size[more] > k]
+        data[at[more] + k] = ranks[more] >> np.uint32(8 * k)
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -68,9 +79,10 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> n
         slots[ends[spare >= k] - k] = False
     size = LENGTHS[control].reshape(-1)[slots]
     at = np.cumsum(size, dtype=np.int64) - size
-    out = np.zeros(len(size), dtype=np.uint32)
-    for k in range(4):
-        more = size > k
+    out = data[at].astype(np.uint32)
+    more = np.arange(len(size))
+    for k in (1, 2, 3):
+        more = more[size[more] > k]
         out[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
@@ -83,6 +95,15 @@ def pack_block(ids: list, counts: list[int], controls: list[bytes], datas: list[
     )
 
 
+def flat_ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, number of ids of each row) of a binary column, without a copy."""
+    if not len(column):
+        return np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64)
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], wide)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
 def unpack_block(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     """doc_ids, counts and ranks of a block."""
     magic, n, _, n_control = struct.unpack_from("<4sIII", payload)
@@ -101,10 +122,9 @@ def _encoded(docs: DataFrame, tokenizer: str, wide: bool) -> DataFrame:
 
     def encode(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for at, part in in_batches(texts):
+            for at, part in text_slices(batch, 1, SLICE_BYTES):
                 found = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder(tokenizer).encode(part)]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), pa.array(found, pa.binary())], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array(found, pa.binary())], names=["doc_id", "ids"])
 
     return docs.mapInArrow(encode, "doc_id long, ids binary")
 
@@ -123,21 +143,34 @@ class TokenFile:
 
     def read(self) -> DataFrame:
         """One row a document, decoded: doc_id, start, ids (little-endian unsigned 32-bit)."""
+        return self._decoded("ids binary", lambda flat, counts: [pa.array([flat[e - c : e].tobytes() for e, c in zip(np.cumsum(counts), counts)], pa.binary())])
+
+    def digests(self) -> DataFrame:
+        """One row a document from its decoded ids: doc_id, start, n_tokens, ids_crc32."""
+
+        def made(flat, counts):
+            data, ends = memoryview(flat.tobytes()), np.cumsum(counts)
+            crcs = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]
+            return [pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())]
+
+        return self._decoded("n_tokens long, ids_crc32 long", made)
+
+    def _decoded(self, columns: str, made) -> DataFrame:
         base = self.base
         ranked = self.spark.read.parquet(f"{self.path}/dictionary").orderBy("rank").collect()  # as many rows as the vocabulary at most
         back = np.array([r["id"] for r in ranked], dtype="<u4")
+        names = ["doc_id", "start", *(c.split()[0] for c in columns.split(", "))]
 
         def decode(batches):
+            forget()
             for batch in batches:
-                for part, before, payload in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for i in range(batch.num_rows):
+                    part, before, payload = (batch.column(k)[i].as_py() for k in range(3))
                     ids, counts, ranks = unpack_block(payload)
-                    flat = back[ranks].astype("<u4")
                     starts = base[part] + before + np.cumsum(counts) - counts
-                    ends = np.cumsum(counts)
-                    docs = [flat[e - c : e].tobytes() for e, c in zip(ends, counts)]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(docs, pa.binary())], names=["doc_id", "start", "ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), *made(back[ranks], counts)], names=names)
 
-        return self.spark.read.parquet(f"{self.path}/blocks").select("part", "start_in_part", "payload").mapInArrow(decode, "doc_id long, start long, ids binary")
+        return self.spark.read.parquet(f"{self.path}/blocks").select("part", "start_in_part", "payload").mapInArrow(decode, f"doc_id long, start long, {columns}")
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> TokenFile:
@@ -146,13 +179,13 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, id_col: str = "
     vocabulary = max(library(tokenizer).get_vocab_size(with_added_tokens=True), END_ID + 1)
     wide = vocabulary > 1 << 16
     kind = "<u4" if wide else "<u2"
-    found = materialize(_encoded(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), tokenizer, wide), "ids")
+    found = materialize(_encoded(docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text")), tokenizer, wide), "ids")
 
     def count(batches):
+        forget()
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(data, kind), minlength=vocabulary)
+            total += np.bincount(flat_ids(batch.column(0), kind)[0], minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -162,20 +195,12 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, id_col: str = "
     rank = np.zeros(vocabulary, dtype=np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
 
-    def code(batches):
-        for batch in batches:
-            rows = [(np.frombuffer(data, kind)) for data in batch.column(1).to_pylist()]
-            coded = [code_ranks(rank[r]) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(r) for r in rows], pa.int64()), pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                names=["doc_id", "n", "control", "data"],
-            )
-
     def blocks(batches):
         from pyspark import TaskContext
 
+        forget()
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        held: list[list] = [[], [], [], []]
+        held: list[list] = [[], [], [], []]  # ids, counts, control and data bytes
 
         def close():
             nonlocal block, before, held
@@ -186,20 +211,28 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, id_col: str = "
 
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if held[0] and size + row[1] > BLOCK_IDS:
+            ids, (flat, counts) = batch.column(0).to_pylist(), flat_ids(batch.column(1), kind)
+            ends, at = np.cumsum(counts), 0
+            while at < len(ids):
+                # as many documents as the block takes yet, one at least if it is empty
+                fits = int(np.searchsorted(ends, BLOCK_IDS - size + (ends[at - 1] if at else 0), side="right"))
+                to = max(fits, at + (not held[0]))
+                if to == at:
                     yield close()
                     size = 0
-                for column, x in zip(held, row):
-                    column.append(x)
-                size += row[1]
+                    continue
+                control, data = code_ranks(rank[flat[ends[at] - counts[at] : ends[to - 1]]], counts[at:to])
+                for column, x in zip(held, (ids[at:to], counts[at:to].tolist(), [control], [data])):
+                    column += x
+                size += int(counts[at:to].sum())
+                at = to
         if held[0]:
             yield close()
 
-    coded = found.mapInArrow(code, "doc_id long, n long, control binary, data binary")
-    ranged = coded.repartitionByRange(parallelism(spark), "doc_id").sortWithinPartitions("doc_id", "n", "control", "data")
+    ranged = found.repartitionByRange(parallelism(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
     written = ranged.mapInArrow(blocks, "part int, block int, n_docs long, n_ids long, start_in_part long, payload binary")
     written.write.option("compression", "none").parquet(f"{path}/blocks")
+    discard(found)
     return TokenFile(spark, path)
 
 
@@ -207,13 +240,4 @@ def token_rows(docs: DataFrame, path: str | None = None, tokenizer: str | None =
     """Write a token file and read it back: doc_id, start, n_tokens, ids_crc32 of every document."""
     path = path or scratch_path(docs.sparkSession, "tokens")
     file = write_token_file(docs, path, tokenizer or tokenizer_path("word_bpe_49k.json"), id_col, text_col)
-
-    def digest(batches):
-        for batch in batches:
-            datas = batch.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) // 4 for x in datas], pa.int64()), pa.array([zlib.crc32(x) for x in datas], pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return file.read().mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return file.digests()
