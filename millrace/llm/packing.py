@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
-from .tokens import END_ID, encoder, in_batches, tokenizer_path
+from .common import materialize, quoted, ship, text_slices
+from .tokens import END_ID, SLICE_BYTES, encoder, tokenizer_path
 
 CAPACITY = 1024
 PIECES = "doc_id long, uid long, piece int, start long, length long, ids_crc32 long"
@@ -103,8 +103,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, i
 
         encode, uid, end = encoder(tokenizer).encode, TaskContext.get().partitionId() << 33, END_ID.to_bytes(4, "little")
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at, part in in_batches(texts):
+            ids = batch.column(0).to_pylist()
+            for at, part in text_slices(batch, 1, SLICE_BYTES):
                 rows = []
                 for k, data in enumerate(encode(part)):
                     data += end
@@ -117,7 +117,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, i
                     names=["doc_id", "uid", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text")).mapInArrow(cut, PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, group_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
