@@ -167,7 +167,7 @@ class Pipeline:
 
     def _deliver(self, batch: DataFrame, number: int) -> None:
         self.policy.add(self.writer.write(batch.select("tbl", "row"), number) or 0)
-        self.policy.pre_commit({"batch": number}, time.monotonic_ns() // 1_000_000, lambda: self.writer.commit(batch.sparkSession))
+        self.policy.pre_commit({"batch": number}, time.time_ns() // 1_000_000, lambda: self.writer.commit(batch.sparkSession))
         self.gate.succeeded()
 
     def start(self, records: DataFrame, once: bool = False) -> StreamingQuery:
