@@ -329,6 +329,28 @@ def delivery_two_phase(spark, sf_dir):
     return writer.read(spark).groupBy("tbl").agg(F.count(F.lit(1)).alias("n")).select("tbl", "n", *[F.lit(c).cast("long").alias(n) for n, c in zip(names, counts)])
 
 
+def delivery_flush_rule(spark, sf_dir):
+    """The first batch flushes, later ones wait, and reaching the size flushes all that wait: rows visible after each."""
+    pipeline, writer, _ = _ingest(spark, sf_dir, settings={"bufferflush.intervalms": "3600000"})
+    rows = row_ops.route(row_ops.build_rows(_records(spark, sf_dir)), TOPICS).select("tbl", "row", "event_id")
+    visible = []
+    for k in range(4):
+        pipeline.policy.add(pipeline.config.max_bytes if k == 3 else 0)
+        pipeline._deliver(rows.filter(F.col("event_id") % 4 == k), k)
+        visible.append(writer.read(spark).count())
+    return writer.read(spark).groupBy("tbl").agg(F.count(F.lit(1)).alias("n")).select("tbl", "n", *[F.lit(v).cast("long").alias(f"after_{k}") for k, v in enumerate(visible)])
+
+
+def delivery_stop(spark, sf_dir):
+    """A running pipeline that is stopped has ended, with everything committed that it had taken."""
+    pipeline, writer, records = _ingest(spark, sf_dir)
+    query = pipeline.start(records())
+    query.processAllAvailable()
+    pipeline.stop()
+    left = len(writer.staged(spark))
+    return writer.read(spark).groupBy("tbl").agg(F.count(F.lit(1)).alias("n")).select("tbl", "n", F.lit(query.isActive).alias("active"), F.lit(left).alias("staged"))
+
+
 def delivery_table_names(spark, sf_dir):
     """Tables are texts: names that look like numbers come back as they were."""
     _, writer, _ = _ingest(spark, sf_dir)
@@ -714,6 +736,9 @@ SQL: dict[str, str] = {
     "delivery_bad_record": "SELECT CAST(0 AS BIGINT) AS n, CAST(1 AS INT) AS failures, true AS refused",
     "delivery_two_phase": f"""SELECT {_ROUTE} AS tbl, count(*) AS n, CAST(0 AS BIGINT) AS staged, total AS committed, total AS staged_more, total AS aborted, total AS committed_nothing, total AS staged_again, total AS committed_again
         FROM events, (SELECT count(*) AS total FROM events WHERE event_id % 10 <> 0 AND event_id % 2 = 1) WHERE event_id % 10 <> 0 AND event_id % 2 = 1 GROUP BY ALL""",
+    "delivery_flush_rule": f"""SELECT {_ROUTE} AS tbl, count(*) AS n, first AS after_0, first AS after_1, first AS after_2, total AS after_3
+        FROM events, (SELECT count(*) AS total, count(*) FILTER (event_id % 4 = 0) AS first FROM events WHERE event_id % 10 <> 0) WHERE event_id % 10 <> 0 GROUP BY ALL""",
+    "delivery_stop": f"SELECT {_ROUTE} AS tbl, count(*) AS n, false AS active, CAST(0 AS INT) AS staged FROM events WHERE event_id % 10 <> 0 GROUP BY 1",
     "delivery_table_names": "SELECT '00' || n_regionkey AS tbl, n_name AS row FROM nation",
     "delivery_load_properties": "SELECT CAST(0 AS BIGINT) AS batch, 'db' AS database, 'a:1| b:2' AS endpoints, * FROM (VALUES ('strip_outer', 'Yes'), ('columns', 'c1,c2'), ('format', 'json')) AS t(key, value)",
     "flagship": f"""WITH {_ENVELOPES} SELECT o_orderkey, CASE WHEN op IN ('c', 'u') THEN 'orders' ELSE 'orders_' || op END AS tbl,
