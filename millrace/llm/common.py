@@ -6,11 +6,11 @@ place, :func:`release` removes all that are left, once results are written.
 
 from __future__ import annotations
 
-import gc
 import sys
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from math import ceil, log2
 from pathlib import Path
 
@@ -28,6 +28,7 @@ FILTER_BITS, FILTER_MOST = 16, 1 << 28
 
 #: Bytes of a batch that goes to a Python worker; Spark's own limit is four times that.
 ARROW_BYTES = 16 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ARROW, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864", "67108864b", "64MB")
 
 #: Scratch folders of applications that have none set.
@@ -60,11 +61,27 @@ def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
     return table, path
 
 
+@contextmanager
+def written_once(spark: SparkSession):
+    """While a table is written, let Spark drop the shuffle files of the write at its end: nothing runs that plan again."""
+    try:
+        before = spark.conf.get(_CLEANUP)
+    except Exception:  # noqa: BLE001  a version without the setting drops them when the driver collects its garbage
+        yield
+        return
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: lineage ends, lost executors cost nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with written_once(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
@@ -97,16 +114,11 @@ def write_bucketed(df: DataFrame, name: str, key: str = "chunk") -> DataFrame:
     spark = df.sparkSession
     table, path = scratch_table(spark, name)
     buckets = parallelism(spark)
-    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
+    with written_once(spark):
+        df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps now: it waits for the driver to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
     """Remove the scratch tables that this application's operators have made (from ``since`` on) and return how many.
 
