@@ -41,25 +41,35 @@ def shuffled(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def running(rows: DataFrame, order: list[str], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with, for each name, the sum over all rows before in the order; range-partitioned, so no task sees all."""
+    spark = rows.sparkSession
+    parts = max(2, parallelism(spark))
+    ranged = rows.withColumns({f"{n}__own": c for n, c in sums.items()}).repartitionByRange(parts, *order)
+    ranged = materialize(ranged.withColumn("__part", F.spark_partition_id()), "ranges")
+    held = ranged.groupBy("__part").agg(*[F.sum(f"{n}__own").alias(n) for n in sums]).orderBy("__part").collect()  # a row a partition
+    before, offsets = dict.fromkeys(sums, 0), []
+    for r in held:
+        offsets.append((r["__part"], *before.values()))
+        before = {n: before[n] + r[n] for n in sums}
+    table = spark.createDataFrame(offsets, "__part int" + "".join(f", {n}__before long" for n in sums))
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = ranged.join(F.broadcast(table), "__part")
+    joined = joined.withColumns({n: F.col(f"{n}__before") + F.coalesce(F.sum(f"{n}__own").over(inside), F.lit(0)) for n in sums})
+    return joined.drop("__part", *[f"{n}__{x}" for n in sums for x in ("own", "before")])
+
+
 def targets(sources: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """source, source_size -> also rank and target. One row a source: the windows here see no documents."""
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    ranked = sources.withColumn("rank", F.row_number().over(by_name) - 1)
-    ranked = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), F.col("rank") % len(weights) + 1))
-    ranked = ranked.withColumn("cap", F.col("source_size") * max_repeat)
-    before = Window.orderBy(F.col("cap") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    filled = ranked.withColumns(
-        {
-            "__spent": F.coalesce(F.sum("cap").over(before), F.lit(0)),
-            "__gone": F.coalesce(F.sum("weight").over(before), F.lit(0)),
-            "__all": F.sum("source_size").over(everything),
-            "__weights": F.sum("weight").over(everything),
-        }
-    ).withColumn("__level", (F.col("__all") - F.col("__spent")) / (F.col("__weights") - F.col("__gone")))
-    over = F.col("cap") / F.col("weight") > F.col("__level")
-    filled = filled.withColumn("__over", over).withColumn("__water", F.max(F.when(over, F.col("__level"))).over(everything))
-    target = F.when(F.col("__over"), F.col("__water") * F.col("weight")).otherwise(F.col("cap").cast("double"))
+    """source, source_size -> also rank and target: water filling by two running sums over the sources."""
+    ranked = running(sources.withColumn("none", F.col("source").isNull()), ["none", "source"], {"rank": F.lit(1).cast("long")})
+    ranked = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")))
+    ranked = ranked.withColumn("cap", F.col("source_size") * max_repeat).withColumn("ratio", F.col("cap") / F.col("weight"))
+    filled = running(ranked, ["ratio", "rank"], {"spent": F.col("cap"), "gone": F.col("weight").cast("long")})
+    everything, all_weights = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+    filled = filled.withColumn("level", (F.lit(everything).cast("long") - F.col("spent")) / (F.lit(all_weights).cast("long") - F.col("gone")))
+    over = F.col("ratio") > F.col("level")
+    water = F.lit(filled.agg(F.max(F.when(over, F.col("level")))).first()[0]).cast("double")
+    target = F.when(over, water * F.col("weight")).otherwise(F.col("cap").cast("double"))
     return filled.select("source", "source_size", "documents", "rank", target.alias("target"))
 
 
