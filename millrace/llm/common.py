@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..streaming.store import shared_folder
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: At most this many keys count as heavy in :func:`join_classes`.
@@ -26,30 +28,17 @@ HEAVY_KEYS = 1000
 #: A :class:`KeyFilter` has so many bits a key, up to its greatest size (32 MB).
 FILTER_BITS, FILTER_MOST = 16, 1 << 28
 
-#: Bytes of a batch that goes to a Python worker; Spark's own limit is four times that.
-ARROW_BYTES = 16 << 20
+#: Bytes of a batch that goes to a Python worker; Spark's own limit is ten times that.
+ARROW_BYTES = 6 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ARROW, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864", "67108864b", "64MB")
 
-#: Scratch folders of applications that have none set.
-_own: dict[str, str] = {}
 #: Scratch folders and catalog tables that exist, by application.
 _made: dict[str, list[str]] = {}
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where that is unset, a folder of our own (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = _own.setdefault(spark.sparkContext.applicationId, "") or f"file://{tempfile.mkdtemp(prefix='millrace-')}"
-        _own[spark.sparkContext.applicationId] = root
-    return root.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{scratch_root(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/millrace/{name}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
@@ -244,18 +233,20 @@ def fresh() -> None:
 
 
 def text_slices(batch, column: int, chars: int):
-    """(first row, texts) of an Arrow batch, of about ``chars`` bytes or one text each: no more are Python objects at once."""
+    """(first row, texts) of an Arrow batch, in even slices of at most about ``chars`` bytes or one text each: no more are
+    Python objects at once."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends, at = np.cumsum(size), 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, chars + (ends[at - 1] if at else 0), side="right")))
+    ends = np.cumsum(size)
+    n = max(1, ceil(ends[-1] / chars)) if len(ends) else 0
+    cuts = np.searchsorted(ends, ends[-1] * np.arange(1, n) / n) + 1 if n else []
+    bounds = np.unique(np.r_[0, cuts, batch.num_rows]).astype(np.int64).tolist()
+    for at, to in zip(bounds, bounds[1:]):
         yield at, batch.column(column).slice(at, to - at).to_pylist()
         pa.default_memory_pool().release_unused()
-        at = to
 
 
 def ship(spark: SparkSession) -> None:

@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, quoted, ship, text_slices
-from .tokens import END_ID, SLICE_BYTES, encoder, tokenizer_path
+from .tokens import END_ID, encoder, tokenizer_path
 
 CAPACITY = 1024
+#: Bytes of text that are encoded in one go.
+SLICE_BYTES = 2_000_000
 PIECES = "doc_id long, uid long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 

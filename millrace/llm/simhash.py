@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_classes, keep_decided, materialize, parallelism, quoted, row_mark, ship, text_slices
+from .common import fresh, join_classes, keep_decided, materialize, parallelism, quoted, row_mark, ship, text_slices
 from .components import connected_components
 
 DISTANCE = 4
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks = [] if mark is None else [mark.alias("mark")]
 
     def run(batches):
+        fresh()
         for batch in batches:
             found = np.array([fingerprint(shingle_hashes(t)) for _, part in text_slices(batch, 1, SLICE_BYTES) for t in part], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64()), *batch.columns[2:]], names=["doc_id", "fp", "mark"][: batch.num_columns])
@@ -157,6 +158,7 @@ def cell_forest(cell: np.ndarray, fps: np.ndarray, fine: bool = False) -> tuple[
 
 def _forests(fine: bool):
     def run(batches):
+        fresh()
         held = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)]
 
         def edges(cell, fps):
