@@ -10,13 +10,14 @@ How it works
     2. A bucket with one suffix in the whole corpus needs no refining. In the others, suffixes that are stood for by one
        q-gram form a segment; equal segments (by a 96-bit digest) are one class, of which the earliest stays.
     3. Where a bucket holds several classes, the suffixes of the classes' earliest segments are refined by
-       bucket-pointer refinement: buckets of GRAM bytes are sorted on the bucket identifiers of later offsets
-       (GRAM, then SPAN - GRAM bytes on), first to 2 * GRAM and, reusing that, to SPAN bytes.
+       bucket-pointer refinement, across all chunks: the bucket of a suffix to depth 2 * GRAM is its own bucket and the
+       one that its suffix GRAM bytes on lies in. Buckets that are down to one suffix in the whole corpus are done; the
+       others are refined once more, by the bucket SPAN - GRAM bytes on, to depth SPAN, reusing the pointers.
     4. The earliest suffix of each final bucket stays, all others mark their SPAN bytes.
 
-    Chunks exchange keys with owners of hash ranges, many keys to a row. A chunk settles its own repeats first, so that a
-    passage that a third of all documents share reaches its owner once a chunk. Counts, first places and answers are all
-    that moves; no text does.
+    Chunks ask owners of hash ranges, many keys to a row, through the tree of :mod:`exchange`. A chunk settles its own
+    repeats first, so that a passage that a third of all documents share reaches its owner once a chunk, or once for many
+    chunks where there is more than one level. Counts, first places and answers are all that moves; no text does.
 
 Defined results
     null text: empty. Texts under SPAN bytes: nothing removed. null doc_id: before all ids; rows with equal ids: in an order
@@ -27,7 +28,6 @@ Defined results
 from __future__ import annotations
 
 import hashlib
-import uuid
 import zlib
 
 import numpy as np
@@ -35,19 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parallelism, scratch_path, ship
-from .scoring import owner_of, pack_counts, pack_keys, unpack_counts, unpack_keys
-from .tokens import in_batches
+from .common import parallelism, quoted, scratch_table, ship, text_slices, written_once
+from .exchange import ASKED, FAN, SEVERAL, Rule, answers_of, gathered, pack_bits, pack_counts, pack_keys, resolve, table_of, unpack_bits, unpack_counts, unpack_keys
 
 SPAN, GRAM = 100, 40
 CHUNK_CHARS = 2_000_000
 #: Longer texts are cut into parts that overlap by SPAN - 1 bytes.
-PART_BYTES = 1 << 24
-#: Places in a run of parts fit in so many low bits of a q-gram's rank.
-PLACE_BITS = 26
+PART_BYTES = 1 << 19
+#: Parts of so many bytes in all are worked on together; their places fit in the low bits of a q-gram's rank.
+RUN_BYTES, PLACE_BITS = 1 << 19, 26
 OWNER_KEYS = 1_000_000
-#: To tell lone q-grams from others their top 44 bits do: a chance meeting only makes a candidate.
-GRAM_SHIFT = np.uint64(20)
+#: To tell lone q-grams from others their top 48 bits do: a chance meeting only makes a candidate.
+GRAM_SHIFT = np.uint64(16)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -60,7 +59,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         while len(power) < n:
             power = np.concatenate([power, power * np.uint64(top)])
             top = top * top % (1 << 64)
-        out.append(power[:n])
+        out.append(power[:n].copy())
     return out[0], out[1]
 
 
@@ -84,6 +83,15 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Hashes mixed once more, one to one: the least of many hashes are small, and owners of ranges would not share them
+    evenly."""
+    h = hashes * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
 def window_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` values in a row: block minima from the left and the right."""
     n = len(values)
@@ -109,10 +117,11 @@ def parts_of(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 class Segments:
     """What stands for the SPAN-byte strings of a chunk: ``gram`` hash, first string ``first`` (place in the chunk's
-    joined parts) and the number of strings ``many`` of each segment; ``hashes`` of all places."""
+    joined parts) and the number of strings ``many`` of each segment; ``hashes`` of all places, which is all that there is
+    with ``hashes_only``."""
 
-    def __init__(self, parts: list[bytes]):
-        self.data = b"".join(parts)
+    def __init__(self, parts: list[bytes], hashes_only: bool = False):
+        self.hashes_only, self.data = hashes_only, b"".join(parts)
         flat = np.frombuffer(self.data, dtype=np.uint8)
         sizes = np.array([len(p) for p in parts], dtype=np.int64)
         ends = np.cumsum(sizes)
@@ -121,7 +130,7 @@ class Segments:
         at = 0
         while at < len(parts):
             to = at + 1
-            while to < len(parts) and ends[to] - self.part_start[at] < 1 << (PLACE_BITS - 1):
+            while to < len(parts) and ends[to] - self.part_start[at] < RUN_BYTES:
                 to += 1
             found.append(self._run(flat, int(self.part_start[at]), int(ends[to - 1]), ends[at:to], sizes[at:to]))
             at = to
@@ -132,7 +141,7 @@ class Segments:
         h = gram_hashes(flat[start:end])
         self.hashes[start : start + len(h)] = h
         width = SPAN - GRAM + 1
-        if len(h) < width:
+        if len(h) < width or self.hashes_only:
             return none
         low = np.uint64((1 << PLACE_BITS) - 1)
         least = window_least((h & ~low) | np.arange(len(h), dtype=np.uint64), width) & low
@@ -150,7 +159,7 @@ class Segments:
         anchor = least[places].astype(np.int64)
         change = np.r_[True, anchor[1:] != anchor[:-1]] | begin[places]
         at = np.flatnonzero(change)
-        return h[anchor[at]], places[at] + start, np.diff(np.r_[at, len(places)])
+        return spread(h[anchor[at]]), places[at] + start, np.diff(np.r_[at, len(places)])
 
 
 def _doc_key(ids: list) -> np.ndarray:
@@ -164,33 +173,33 @@ def earliest(hi: np.ndarray, lo: np.ndarray, doc: np.ndarray, place: np.ndarray)
     return order, np.r_[True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])] if len(hi) else np.zeros(0, dtype=bool)
 
 
-def refine(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Final bucket of the SPAN-byte suffix at each place, by bucket-pointer refinement from q-gram buckets."""
-    later = (GRAM, SPAN - GRAM)
-    grams = hashes[np.concatenate([places, *(places + k for k in later)])]
-    bucket = np.unique(grams, return_inverse=True)[1].reshape(3, -1)
-    count = np.int64(len(grams) + 1)
-    refined = bucket[0]
-    for pointed in bucket[1:]:
-        refined = np.unique(refined * count + pointed, return_inverse=True)[1]
-    return refined
+def refine(bucket: np.ndarray, pointed: np.ndarray) -> np.ndarray:
+    """The refined buckets, as 64-bit identifiers that all chunks share: a suffix's own bucket and the one that a later
+    offset of it points to."""
+    h = bucket * np.uint64(0x9E3779B97F4A7C15) ^ (pointed * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(7))
+    h ^= pointed + (h >> np.uint64(31))
+    h *= np.uint64(0x165667B19E3779F9)
+    return h ^ (h >> np.uint64(33))
 
 
-def _mixed(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A digest of the SPAN bytes at each place, from the hashes of the three q-grams that cover them."""
-    out = []
-    for a, b, c in ((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5)):
-        h = hashes[places] * np.uint64(a) ^ (hashes[places + GRAM] * np.uint64(b) + (hashes[places + SPAN - GRAM] * np.uint64(c) >> np.uint64(7)))
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(a)
-        out.append(h ^ (h >> np.uint64(33)))
-    return out[0], out[1]
+def _rest(bucket: np.ndarray, pointed: np.ndarray) -> np.ndarray:
+    """32 more bits of the identifier of a final bucket."""
+    h = (bucket ^ (pointed << np.uint64(21) | pointed >> np.uint64(43))) * np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    return h >> np.uint64(32)
+
 
+def _beside(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Store chunks, or what joins with them made, in buckets by chunk: nothing is shuffled, here or in later joins.
 
-def _write_bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
-    """Store ``df`` bucketed by chunk: joins on chunk leave it where it is."""
-    spark, table = df.sparkSession, f"millrace_{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, "chunk").option("path", scratch_path(spark, name)).option("compression", "zstd").format("parquet").saveAsTable(table)
+    A task writes a file for each bucket that its chunks fall in, so files are as many as chunks at most; with a shuffle
+    before they would be as many as buckets, but texts would move and executors held 3,679 MB in the tool's run.
+    """
+    spark = df.sparkSession
+    table, path = scratch_table(spark, name)
+    with written_once(spark):
+        df.write.bucketBy(buckets, "chunk").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
@@ -214,73 +223,28 @@ def _unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, "<u4", n, 8 + head + width * n), ids[np.frombuffer(data, f"<u{width}", n, 8 + head)]
 
 
-def _by_owner(chunk: int, owners: int, keys: np.ndarray, rest, shift: np.uint64 = np.uint64(0)) -> pa.RecordBatch | None:
-    """Rows (owner, chunk, keys, rest) of sorted keys; ``rest(a, b)`` are the bytes that go with keys a to b."""
-    edges = np.searchsorted(owner_of(keys, owners), np.arange(owners + 1))
-    some = np.flatnonzero(np.diff(edges)).tolist()
-    rows = {"owner": some, "chunk": [chunk] * len(some), "keys": [pack_keys(keys[edges[o] : edges[o + 1]] >> shift) for o in some], "rest": [rest(edges[o], edges[o + 1]) for o in some]}
-    return _batch(rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()]) if some else None
-
-
-ASKED = "owner int, chunk long, keys binary, rest binary"
-ANSWERED = "owner int, chunk long, bits binary"
-
-
-def _answers(rows: list, bits: list[np.ndarray]) -> pa.Table:
-    columns = [pa.array([r["owner"] for r in rows], pa.int32()), pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([np.packbits(b).tobytes() + bytes([len(b) & 7]) for b in bits], pa.binary())]
-    return pa.table(columns, names=["owner", "chunk", "bits"])
-
-
-def _unbits(parts: list[bytes]) -> np.ndarray:
-    """Answers of a chunk's owners, in order, as one boolean array."""
-    out = [np.zeros(0, dtype=bool)]
-    for p in parts:
-        spare = -p[-1] & 7
-        bits = np.unpackbits(np.frombuffer(p, np.uint8, len(p) - 1)).astype(bool)
-        out.append(bits[: len(bits) - spare])
-    return np.concatenate(out)
-
+def _asking(chunk: int, keys: np.ndarray, rest: bytes) -> pa.RecordBatch:
+    """One row of :data:`exchange.ASKED` of sorted keys and what goes with them."""
+    return table_of(ASKED, {"member": [chunk], "kind": [0], "keys": [pack_keys(keys)], "rest": [rest]})
 
-def more_than_one(asked: DataFrame) -> DataFrame:
-    """For each key of each chunk: do the counts of all chunks add up to over one?"""
 
-    def add_up(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        keys = [unpack_keys(r["keys"]) for r in rows]
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        several = np.bincount(place, weights=np.concatenate([unpack_counts(r["rest"]) for r in rows])) > 1
-        edges = np.cumsum([0, *map(len, keys)])
-        return _answers(rows, [several[place[a:b]] for a, b in zip(edges, edges[1:])])
+def _firsts(keys: list, values: list):
+    """Of all places of a key (two hashes) the earliest: the least document, then the first member."""
+    hi, number = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    lo, doc = (np.concatenate([v[i] for v in values]) for i in range(2))
+    order = np.lexsort((number, doc, lo, hi))  # a member sends its earliest place only
+    first = np.r_[True, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)] if len(hi) else np.zeros(0, dtype=bool)
+    flags, place = np.zeros(len(hi), dtype=bool), np.empty(len(hi), dtype=np.int64)
+    lead = order[first]
+    flags[lead] = True
+    place[order] = np.cumsum(first) - 1
+    ends = np.cumsum([0, *map(len, keys)])
+    spans = list(zip(ends, ends[1:]))
+    return hi[lead], (lo[lead], doc[lead]), [flags[a:b] for a, b in spans], [place[a:b] for a, b in spans], len(lead)
 
-    return asked.groupBy("owner").applyInArrow(add_up, ANSWERED)
 
-
-def comes_first(asked: DataFrame) -> DataFrame:
-    """For each key of each chunk: is the chunk's place the earliest of all chunks?"""
-
-    def find(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-        keys = [unpack_keys(r["keys"]) for r in rows]
-        rest = [_unpack_places(r["rest"]) for r in rows]
-        lo, doc = (np.concatenate([x[i] for x in rest]) for i in range(2))
-        number = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
-        hi = np.concatenate(keys)
-        order = np.lexsort((number, doc, lo, hi))  # a chunk sends its earliest place only, and no document is in two chunks
-        first = np.r_[True, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]
-        flags = np.zeros(len(hi), dtype=bool)
-        flags[order[first]] = True
-        edges = np.cumsum([0, *map(len, keys)])
-        return _answers(rows, [flags[a:b] for a, b in zip(edges, edges[1:])])
-
-    return asked.groupBy("owner").applyInArrow(find, ANSWERED)
-
-
-def _gathered(answers: DataFrame, name: str) -> DataFrame:
-    return answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "bits"))).alias(name))
-
-
-def _bits_of(got: list | None) -> np.ndarray:
-    return _unbits([g["bits"] for g in got or []])
+#: Is a member's place of a key the earliest of all members' places?
+FIRST = Rule(_unpack_places, lambda v: _pack_places(*v), lambda v, a, b: (v[0][a:b], v[1][a:b]), _firsts, lambda own, back: own & back, pack_bits, unpack_bits)
 
 
 def _rows(batches):
@@ -293,17 +257,17 @@ def _ids_at(row: dict, owner: np.ndarray, part: np.ndarray) -> np.ndarray:
     return _doc_key(row["doc_ids"])[owner[part]]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS, owner_keys: int = OWNER_KEYS, fan: int = FAN) -> DataFrame:
     """doc_id, n_bytes, spans (removed [start, end) pairs) and kept (the remaining bytes) of every document."""
-    return _apply(docs, id_col, text_col, chunk_chars, digest=False)
+    return _apply(docs, id_col, text_col, chunk_chars, owner_keys, fan, digest=False)
 
 
-def removed_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def removed_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS, owner_keys: int = OWNER_KEYS, fan: int = FAN) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    return _apply(docs, id_col, text_col, chunk_chars, digest=True)
+    return _apply(docs, id_col, text_col, chunk_chars, owner_keys, fan, digest=True)
 
 
-def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest: bool) -> DataFrame:
+def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, owner_keys: int, fan: int, digest: bool) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     buckets = parallelism(spark)
@@ -311,35 +275,53 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
     def cut(batches):
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId() << 32
+        chunk, held_ids, held, size = TaskContext.get().partitionId() << 32, [], [], 0
+
+        def close():
+            nonlocal chunk, held_ids, held, size
+            grams, counts = np.unique(Segments(parts_of(held)[0]).gram >> GRAM_SHIFT << GRAM_SHIFT, return_counts=True)
+            rows = {"chunk": [chunk], "doc_ids": [held_ids], "sizes": [[len(d) for d in held]], "text": [zlib.compress(b"".join(held), 1)], "grams": [pack_keys(grams >> GRAM_SHIFT)], "counts": [pack_counts(counts)], "n": [len(grams)]}
+            chunk, held_ids, held, size = chunk + 1, [], [], 0
+            return _batch(rows, [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()])
+
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at, part in in_batches(texts, chunk_chars):
-                datas = [(t or "").encode("utf-8", "surrogatepass") for t in part]
-                grams, counts = np.unique(Segments(parts_of(datas)[0]).gram >> GRAM_SHIFT << GRAM_SHIFT, return_counts=True)
-                rows = {"chunk": [chunk], "doc_ids": [ids[at : at + len(part)]], "sizes": [[len(d) for d in datas]], "text": [zlib.compress(b"".join(datas), 1)], "grams": [pack_keys(grams >> GRAM_SHIFT)], "counts": [pack_counts(counts)], "n": [len(grams)]}
-                yield _batch(rows, [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()])
-                chunk += 1
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chunks = _write_bucketed(source.mapInArrow(cut, "chunk long, doc_ids array<long>, sizes array<long>, text binary, grams binary, counts binary, n long"), "chunks", buckets)
-    owners = max(buckets, -(-(chunks.agg(F.sum("n")).first()[0] or 0) // OWNER_KEYS))
-
-    def opened(row):
+            ids = batch.column(0).to_pylist()
+            for at, texts in text_slices(batch, 1, chunk_chars):
+                for i, t in enumerate(texts):
+                    if held and size + len(t or "") > chunk_chars:
+                        yield close()
+                    held_ids.append(ids[at + i])
+                    held.append((t or "").encode("utf-8", "surrogatepass"))
+                    size += len(t or "")
+        if held:
+            yield close()
+
+    source = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
+    chunks = _beside(source.mapInArrow(cut, "chunk long, doc_ids array<long>, sizes array<long>, text binary, grams binary, counts binary, n long"), "chunks", buckets)
+    members, n_keys = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    owners = max(buckets, -(-n_keys // owner_keys))
+
+    def ask(asking: DataFrame, rule: Rule) -> DataFrame:
+        return resolve(asking, members, owners, rule, fan)
+
+    def texts_of(row):
         data, sizes = zlib.decompress(row["text"]), np.array(row["sizes"], dtype=np.int64)
         ends = np.cumsum(sizes)
-        texts = [data[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
+        return [data[e - n : e] for n, e in zip(sizes.tolist(), ends.tolist())]
+
+    def opened(row, **how):
+        texts = texts_of(row)
         parts, owner, start = parts_of(texts)
-        return texts, owner, start, Segments(parts)
+        return texts, owner, start, Segments(parts, **how)
 
     # 1. which q-gram buckets hold more than one suffix
     def ask_grams(batches):
         for row in _rows(batches):
             keys, counts = unpack_keys(row["grams"]) << GRAM_SHIFT, unpack_counts(row["counts"])
-            if len(counts) and (out := _by_owner(row["chunk"], owners, keys, lambda a, b: pack_counts(counts[a:b]), GRAM_SHIFT)):  # noqa: B023
-                yield out
+            if len(counts):
+                yield _asking(row["chunk"], keys, pack_counts(counts))
 
-    several = materialize(more_than_one(chunks.select("chunk", "grams", "counts").mapInArrow(ask_grams, ASKED)), "several")
+    several = ask(chunks.select("chunk", "grams", "counts").mapInArrow(ask_grams, ASKED), SEVERAL)
 
     # 2. segments of those buckets, and the earliest of each class of equal segments
     def candidates(batches):
@@ -348,7 +330,7 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
         for row in _rows(batches):
             _, owner, _, segments = opened(row)
             short = segments.gram >> GRAM_SHIFT
-            keys, bits = np.unique(short), _bits_of(row["got"])
+            keys, bits = np.unique(short), answers_of(row["got"], 0, SEVERAL)
             keep = np.flatnonzero(bits[np.searchsorted(keys, short)]) if len(keys) else np.zeros(0, dtype=np.int64)
             first, many = segments.first[keep], segments.many[keep]
             view = memoryview(segments.data)
@@ -358,8 +340,8 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             table = np.concatenate([segments.gram[keep].view(np.int64), digests[:, 0].view(np.int64), digests[:, 1].view(np.int64), doc, first, many])
             yield _batch({"chunk": [row["chunk"]], "table": [zlib.compress(table.tobytes(), 1)]}, [pa.int64(), pa.binary()])
 
-    found = chunks.select("chunk", "doc_ids", "sizes", "text").join(_gathered(several, "got").hint("shuffle_hash"), "chunk", "left")
-    state = _write_bucketed(found.mapInArrow(candidates, "chunk long, table binary"), "segments", buckets)
+    found = chunks.select("chunk", "doc_ids", "sizes", "text").join(gathered(several, "chunk", "got").hint("shuffle_hash"), "chunk", "left")
+    state = _beside(found.mapInArrow(candidates, "chunk long, table binary"), "segments", buckets)
 
     def columns(row):
         gram, hi, lo, doc, first, many = np.frombuffer(zlib.decompress(row["table"]), np.int64).reshape(6, -1)
@@ -371,18 +353,17 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             _, hi, lo, doc, first, _ = columns(row)
             order, leads = earliest(hi, lo, doc, first)
             own = order[leads]
-            rest = lambda a, b: _pack_places(lo[own[a:b]], doc[own[a:b]])  # noqa: B023, E731
-            if len(own) and (out := _by_owner(row["chunk"], owners, hi[own], rest)):
-                yield out
+            if len(own):
+                yield _asking(row["chunk"], hi[own], _pack_places(lo[own], doc[own]))
 
-    leading = materialize(comes_first(state.mapInArrow(ask_segments, ASKED)), "leading")
+    leading = ask(state.mapInArrow(ask_segments, ASKED), FIRST)
 
     def leaders(row):
         """Which of a chunk's segments are the earliest of their class in the whole corpus."""
         gram, hi, lo, doc, first, many = columns(row)
         order, leads = earliest(hi, lo, doc, first)
         lead = np.zeros(len(hi), dtype=bool)
-        lead[order[leads][_bits_of(row["lead"])]] = True
+        lead[order[leads][answers_of(row["lead"], 0, FIRST)]] = True
         return gram, doc, first, many, lead
 
     # 3. buckets with several classes
@@ -390,60 +371,80 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
         for row in _rows(batches):
             gram, _, _, _, lead = leaders(row)
             keys, counts = np.unique(gram[lead], return_counts=True)
-            if len(keys) and (out := _by_owner(row["chunk"], owners, keys, lambda a, b: pack_counts(counts[a:b]))):  # noqa: B023
-                yield out
+            if len(keys):
+                yield _asking(row["chunk"], keys, pack_counts(counts))
 
-    led = state.join(_gathered(leading, "lead").hint("shuffle_hash"), "chunk", "left")
-    mixed = materialize(more_than_one(led.mapInArrow(ask_classes, ASKED)), "mixed")
+    led = state.join(gathered(leading, "chunk", "lead").hint("shuffle_hash"), "chunk", "left")
+    mixed = ask(led.mapInArrow(ask_classes, ASKED), SEVERAL)
 
-    # 4. refine the suffixes of those, and settle what the chunk knows by itself
+    # 4. refine the suffixes of those to twice the q-gram, and see which buckets still hold several
     def suffixes(batches):
         for row in _rows(batches):
             gram, doc, first, many, lead = leaders(row)
-            spans = [np.stack([first[~lead], first[~lead] + many[~lead]])]
-            keys, bits = np.unique(gram[lead]), _bits_of(row["mix"])
+            spans = np.stack([first[~lead], first[~lead] + many[~lead]])
+            keys, bits = np.unique(gram[lead]), answers_of(row["mix"], 0, SEVERAL)
             again = np.flatnonzero(lead)[bits[np.searchsorted(keys, gram[lead])]] if len(keys) else np.zeros(0, dtype=np.int64)
-            if len(again):
-                hashes = opened(row)[3].hashes
-                n = many[again]
-                places = np.repeat(first[again] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                docs_of = np.repeat(doc[again], n)
-                bucket = refine(hashes, places)
-                order = np.lexsort((places, docs_of, bucket))
-                leads = np.r_[True, np.diff(bucket[order]) != 0]
-                lost, own = places[order[~leads]], order[leads]
-                spans.append(np.stack([lost, lost + 1]))
-                hi, lo = _mixed(hashes, places[own])
-                lo = lo & np.uint64(0xFFFFFFFF)
-                by = np.lexsort((lo, hi))
-                hi, lo, doc_of, place = hi[by], lo[by], docs_of[own][by], places[own][by]
-            else:
-                hi, lo, doc_of, place = (np.zeros(0, dtype=t) for t in (np.uint64, np.uint64, np.int64, np.int64))
-            rows = {"chunk": [row["chunk"]], "spans": [zlib.compress(np.concatenate(spans, axis=1).astype(np.int64).tobytes(), 1)], "keys": [pack_keys(hi)], "rest": [_pack_places(lo, doc_of)], "place": [place.astype("<u4" if not len(place) or int(place.max()) < 1 << 32 else "<u8").tobytes()]}
+            n = many[again]
+            places = np.repeat(first[again] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            hashes = opened(row, hashes_only=True)[3].hashes if len(places) else np.zeros(0, dtype=np.uint64)
+            bucket = refine(hashes[places], hashes[places + GRAM])
+            last = hashes[places + SPAN - GRAM]
+            table = np.concatenate([places, np.repeat(doc[again], n), bucket.view(np.int64), last.view(np.int64)])
+            yield _batch({"chunk": [row["chunk"]], "spans": [zlib.compress(spans.astype(np.int64).tobytes(), 1)], "table": [zlib.compress(table.tobytes(), 1)]}, [pa.int64(), pa.binary(), pa.binary()])
+
+    known = led.join(gathered(mixed, "chunk", "mix").hint("shuffle_hash"), "chunk", "left").join(chunks.select("chunk", "doc_ids", "sizes", "text"), "chunk")
+    halves = _beside(known.mapInArrow(suffixes, "chunk long, spans binary, table binary"), "suffixes", buckets)
+
+    def suffix_columns(row):
+        places, docs_of, bucket, last = np.frombuffer(zlib.decompress(row["table"]), np.int64).reshape(4, -1)
+        return places, docs_of, bucket.view(np.uint64), last.view(np.uint64)
+
+    def ask_halves(batches):
+        for row in _rows(batches):
+            keys, counts = np.unique(suffix_columns(row)[2], return_counts=True)
+            if len(keys):
+                yield _asking(row["chunk"], keys, pack_counts(counts))
+
+    deeper = ask(halves.mapInArrow(ask_halves, ASKED), SEVERAL)
+
+    # 5. refine those to the whole string, and settle what the chunk knows by itself
+    def finals(batches):
+        for row in _rows(batches):
+            places, docs_of, bucket, last = suffix_columns(row)
+            keys, number = np.unique(bucket, return_inverse=True)
+            going = answers_of(row["deep"], 0, SEVERAL)[number] if len(keys) else np.zeros(0, dtype=bool)
+            places, docs_of, bucket, last = places[going], docs_of[going], bucket[going], last[going]
+            hi, lo = refine(bucket, last), _rest(bucket, last)
+            order, leads = earliest(hi, lo, docs_of, places)
+            lost, own = places[order[~leads]], order[leads]
+            spans = np.concatenate([np.frombuffer(zlib.decompress(row["spans"]), np.int64).reshape(2, -1), np.stack([lost, lost + 1])], axis=1)
+            place = places[own]
+            rows = {"chunk": [row["chunk"]], "spans": [zlib.compress(spans.astype(np.int64).tobytes(), 1)], "keys": [pack_keys(hi[own])], "rest": [_pack_places(lo[own], docs_of[own])], "place": [place.astype("<u4" if not len(place) or int(place.max()) < 1 << 32 else "<u8").tobytes()]}
             yield _batch(rows, [pa.int64(), *[pa.binary()] * 4])
 
-    known = led.join(_gathered(mixed, "mix").hint("shuffle_hash"), "chunk", "left").join(chunks.select("chunk", "doc_ids", "sizes", "text"), "chunk")
-    refined = _write_bucketed(known.mapInArrow(suffixes, "chunk long, spans binary, keys binary, rest binary, place binary"), "suffixes", buckets)
+    half_known = halves.join(gathered(deeper, "chunk", "deep").hint("shuffle_hash"), "chunk", "left")
+    refined = _beside(half_known.mapInArrow(finals, "chunk long, spans binary, keys binary, rest binary, place binary"), "finals", buckets)
 
     def ask_suffixes(batches):
         for row in _rows(batches):
-            hi, (lo, doc) = unpack_keys(row["keys"]), _unpack_places(row["rest"])
-            if len(hi) and (out := _by_owner(row["chunk"], owners, hi, lambda a, b: _pack_places(lo[a:b], doc[a:b]))):  # noqa: B023
-                yield out
+            if len(row["keys"]) > 1:
+                yield table_of(ASKED, {"member": [row["chunk"]], "kind": [0], "keys": [row["keys"]], "rest": [row["rest"]]})
 
-    winners = materialize(comes_first(refined.select("chunk", "keys", "rest").mapInArrow(ask_suffixes, ASKED)), "winners")
+    winners = ask(refined.select("chunk", "keys", "rest").mapInArrow(ask_suffixes, ASKED), FIRST)
 
-    # 5. mark and cut
+    # 6. mark and cut
     def finish(batches):
         for row in _rows(batches):
-            texts, owner, start, segments = opened(row)
+            texts = texts_of(row)
+            parts, owner, start = parts_of(texts)
+            part_start = np.cumsum([0, *map(len, parts)])[:-1]
             spans = np.frombuffer(zlib.decompress(row["spans"]), np.int64).reshape(2, -1)
             n_keys = len(unpack_keys(row["keys"]))
             place = np.frombuffer(row["place"], f"<u{len(row['place']) // n_keys if n_keys else 4}").astype(np.int64)
-            lost = place[~_bits_of(row["won"])] if len(place) else place
+            lost = place[~answers_of(row["won"], 0, FIRST)] if len(place) else place
             begins, ends = np.r_[spans[0], lost], np.r_[spans[1], lost + 1] + SPAN - 1
-            part = np.searchsorted(segments.part_start, begins, side="right") - 1
-            shift = start[part] - segments.part_start[part]
+            part = np.searchsorted(part_start, begins, side="right") - 1
+            shift = start[part] - part_start[part]
             sizes = np.array(row["sizes"], dtype=np.int64)
             base = np.cumsum(sizes) - sizes
             begins, ends = begins + shift + base[owner[part]], ends + shift + base[owner[part]]
@@ -468,5 +469,5 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int, digest
             yield _batch(out, kinds)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else "doc_id long, n_bytes long, spans array<array<long>>, kept binary"
-    marked = chunks.select("chunk", "doc_ids", "sizes", "text").join(refined.drop("rest"), "chunk").join(_gathered(winners, "won").hint("shuffle_hash"), "chunk", "left")
+    marked = chunks.select("chunk", "doc_ids", "sizes", "text").join(refined.drop("rest"), "chunk").join(gathered(winners, "chunk", "won").hint("shuffle_hash"), "chunk", "left")
     return marked.mapInArrow(finish, schema)

@@ -112,29 +112,66 @@ def test_bad_hosts_lose_only_failing_documents(spark):
     assert kept[5000] == (True, False) and all(kept[1000 + i][0] for i in range(400))
 
 
-@pytest.mark.parametrize("chars,owner", [(6_000_000, 3_000_000), (300, 50)])
-def test_scores_against_a_dictionary_model(docs, chars, owner):
+def test_the_worst_of_many_hosts_is_flagged(spark):
+    """A host with far more failures than the others is flagged though no rule fails for half of its documents; hosts that
+    are alike are not."""
+    good, bad = " ".join(f"word{i}" for i in range(80)), " ".join(f"#{i}$" for i in range(80))
+    rows = [(1000 * h + i, bad if i % 10 < (4 if h == 7 else 1) else good, None, f"h{h}", None, None, None) for h in range(30) for i in range(60)]
+    got = quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.host for r in got if r.host_flagged} == {"=h7"}
+    assert all(r.kept == (not (r.host_flagged and r.any_rule)) for r in got) and sum(not r.kept for r in got) == 24
+
+
+@pytest.mark.parametrize("chars,owner,fan,lane", [(6_000_000, 3_000_000, 256, 512), (300, 50, 256, 7), (300, 50, 3, 512)])
+def test_scores_against_a_dictionary_model(docs, monkeypatch, chars, owner, fan, lane):
+    monkeypatch.setattr(scoring, "LANE", lane)
     rows = docs.select("doc_id", "text").collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
-    single, pair, starts = Counter(), Counter(), 0
+    single, pair, triple, starts = Counter(), Counter(), Counter(), 0
     for r in rows:
         if not held(r.doc_id):
             w = [*fold(r.text).encode().split(), "end"]
             single.update(w)
             pair.update(zip(["start", *w], w))
+            triple.update(zip(["start", *w], w, w[1:]))
             starts += 1
     n, v = sum(single.values()), len(single)
+
+    def chance(a, b, c):
+        p = (single[c] + 1) / (n + v + 1)
+        p = (pair[b, c] + scoring.MU * p) / ((starts if b == "start" else single[b]) + scoring.MU)
+        return p if a is None else (triple[a, b, c] + scoring.MU_PAIR * p) / (pair[a, b] + scoring.MU_PAIR)
+
     want = []
     for r in rows:
         w = [*fold(r.text).encode().split(), "end"]
         base = [math.log10((single[x] + 1) / (n + v + 1)) for x in w]
-        full = [math.log10((pair[a, b] + scoring.MU * (single[b] + 1) / (n + v + 1)) / ((starts if a == "start" else single[a]) + scoring.MU)) for a, b in zip(["start", *w], w)]
+        full = [math.log10(chance(a, b, c)) for a, b, c in zip([None, "start", *w], ["start", *w], w)]
         want.append((r.doc_id, held(r.doc_id), len(w), sum(single[x] > 0 for x in w), n, round(sum(base), 6), round(sum(full), 6)))
-    got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in scoring.score(docs, chunk_chars=chars, owner_tokens=owner).collect()]
+    got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in scoring.score(docs, chunk_chars=chars, owner_tokens=owner, fan=fan).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
     assert sum(w[6] for w in want if w[1]) > sum(w[5] for w in want if w[1])
 
 
+def test_weights_leaving_a_state_sum_to_one(spark, tmp_path):
+    """Over the whole vocabulary, arcs and failure paths of every state carry a probability of one in all."""
+    texts = ["a b a c", "a b", "c c a b a"]
+    words = sorted({x for t in texts for x in t.split()})
+    n, v, starts = 14, 4, 3
+    chunk = scoring.Chunk({"sizes": [5, 3, 6], "doc_ids": [None] * 3, "words": scoring.pack_keys((made := scoring.read_chunk(texts))[2]), "stream": zlib.compress(made[1].astype("<u4").tobytes())})
+    keys, number = chunk.triples()
+    count = lambda at, m: np.bincount(at, minlength=m)
+    model = scoring.Automaton(chunk, number, count(chunk.stream, 4), count(chunk.pair, len(chunk.pairs)), count(number[number >= 0], len(keys)), n, v, starts, 200.0, 20.0)
+    unigram = 10 ** model.arc[0]
+    assert unigram.sum() + 1 / (n + v + 1) == pytest.approx(1)  # the rest is kept for unknown tokens
+    for state in range(1, 2 + 4):
+        left = 1 if state == 1 else state
+        arcs = {int(chunk.stream[i]): 10 ** model.arc[1][chunk.pair[i]] for i in range(len(chunk.stream)) if (1 if i in chunk.first else 2 + chunk.stream[i - 1]) == left}
+        rest = 10 ** model.fail_cost[state]
+        assert sum(arcs.values()) + rest * (1 - sum(unigram[x] for x in arcs)) == pytest.approx(1) or not arcs
+    assert len(words) == 3
+
+
 def test_key_and_count_packing():
     for keys in ([], [5], [0, 1, 2**64 - 1], sorted({random.Random(i).getrandbits(64) for i in range(1000)}), list(range(300))):
         assert scoring.unpack_keys(scoring.pack_keys(np.array(keys, dtype=np.uint64))).tolist() == keys
@@ -389,8 +426,8 @@ def repeats(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("chars,part", [(2_000_000, 1 << 24), (2500, 1 << 24), (3000, 700)])
-def test_repeats_against_all_substrings(spark, monkeypatch, chars, part):
+@pytest.mark.parametrize("chars,part,owner,fan", [(2_000_000, 1 << 24, 10**6, 256), (2500, 1 << 24, 10**6, 256), (3000, 700, 10, 256), (1500, 1 << 24, 10, 3)])
+def test_repeats_against_all_substrings(spark, monkeypatch, chars, part, owner, fan):
     monkeypatch.setattr(substrings, "PART_BYTES", part)
     draw = random.Random(7)
     words = ["".join(draw.choice("abcdé") for _ in range(draw.randint(1, 8))) for _ in range(300)]
@@ -406,7 +443,7 @@ def test_repeats_against_all_substrings(spark, monkeypatch, chars, part):
             t += draw.choice(["a", "xyz", "line of text\n"]) * draw.randint(20, 150)
         rows.append((draw.randrange(10**6) * 100 + i, t))
     rows += [(-5, None), (None, passages[0]), (7, "")]
-    got = substrings.removed_digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), chunk_chars=chars).collect()
+    got = substrings.removed_digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), chunk_chars=chars, owner_keys=owner, fan=fan).collect()
     assert sorted(repr(tuple(r)) for r in got) == repeats(rows)
 
 

@@ -285,3 +285,40 @@ def test_exchange_rows_follow_the_members(spark, tmp_path, monkeypatch):
         exchange.resolve(spark.read.parquet(f"{tmp_path}/asked{n}"), n, n, fan=4)
         moved.append(sum(x.count() for x in made))
     assert moved[2] < 3.2 * moved[1] < 3.2 * 3.2 * moved[0]
+
+
+def test_rules_take_repeated_ids(docs):
+    from millrace.llm import quality_rules
+
+    got = quality_rules.judge(docs).collect()
+    assert sorted(repr(r.doc_id) for r in got) == sorted(repr(r.doc_id) for r in docs.select("doc_id").collect())
+    single = {r.n_words for r in quality_rules.judge(docs.filter("doc_id = 31 AND m IS NOT NULL")).collect()}
+    assert {r.n_words for r in got if r.doc_id == 31} == single == {1}
+
+
+def test_repeats_of_repeated_rows(spark):
+    """Of rows that are equal throughout one keeps what no earlier row has, however they are dealt."""
+    from millrace.llm import substrings
+
+    from test_operators import repeats
+
+    draw = random.Random(12)
+    texts = ["".join(draw.choice("abcd ") for _ in range(draw.randrange(90, 400))) for _ in range(8)]
+    rows = [(i % 5, texts[i % 5]) for i in range(20)] + [(None, texts[6])] * 3 + [(9, texts[7] + texts[6])] * 2
+    got = substrings.removed_digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), chunk_chars=300).collect()
+    assert sorted(repr(tuple(r)) for r in got) == repeats(rows)
+
+
+def test_mix_of_ties_does_not_depend_on_the_deal(spark):
+    rows = [(i % 7, "a b c " * (1 + i % 3), f"s{i % 2}") for i in range(80)] + [(None, "x y", None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted(repr((r.doc_id, r.size, r.source, r.taken)) for r in mixing.mix(docs.repartition(n), block_rows=b).collect()) for n, b in ((2, 2000), (5, 3))]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+
+
+def test_scores_of_repeated_rows(spark):
+    from millrace.llm import scoring
+
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b"), (9, "a b c")], "doc_id long, text string")
+    got = scoring.score(docs).collect()
+    assert len(got) == 4 and len({(r.score, r.base_score) for r in got if r.doc_id is not None}) == 1
