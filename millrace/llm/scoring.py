@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import parallelism, quoted, ship, text_slices, write_bucketed
-from .exchange import ASKED, FAN, answers_of, gathered, owner_of, pack_counts, pack_keys, resolve, table_of, unpack_counts, unpack_keys  # noqa: F401
+from .exchange import ASKED, FAN, answers_of, gathered, pack_counts, pack_keys, resolve, table_of, unpack_counts, unpack_keys  # noqa: F401
 
 MU, MU_PAIR = 1000.0, 20.0
 HELD_MODULUS, HELD_REMAINDER = 7, 2

@@ -340,15 +340,3 @@ def forget() -> None:
     encoder.cache_clear()
     library.cache_clear()
     gc.collect()
-
-
-def in_batches(texts: list, chars: int = 4_000_000):
-    """Slices of a list of texts, each of about ``chars`` characters or one text."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= chars):
-            size += len(texts[end] or "")
-            end += 1
-        yield at, texts[at:end]
-        at = end
